@@ -16,6 +16,20 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import held_out
+
+    return held_out(read_table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .chat import format_conversations, read_back
 
@@ -25,6 +39,19 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_conversations(rows.unionByName(extra)))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import fit, grade
+
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return grade(docs, fit(docs, read_table(spark, sf_dir, "labels"))).drop("text")
+
+
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ann import search
+
+    return search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ogg import describe, to_media
 
@@ -32,7 +59,15 @@ def op10_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_warc": op1_warc, "op5_chat": op5_chat, "op10_ogg": op10_ogg}
+    return {
+        "op1_warc": op1_warc,
+        "op3_langid": op3_langid,
+        "op4_packing": op4_packing,
+        "op5_chat": op5_chat,
+        "op6_quality": op6_quality,
+        "op8_ann": op8_ann,
+        "op10_ogg": op10_ogg,
+    }
 
 
 _OP1 = """
@@ -58,5 +93,13 @@ select conv_id, n_turns, sha256(encode(turns)) as turns_sha256, length(under)::b
 """
 
 
+_OP8 = """
+with v as (select vec_id, embedding::double[] as v from embeddings where embedding is not null and list_any_value(embedding) is not null),
+p as (select q.vec_id as query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), x -> (x[1] - x[2]) * (x[1] - x[2])))) as score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
+select * from (select query_id, row_number() over (partition by query_id order by score, vec_id)::int as rank, vec_id, score from p) where rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": _OP1, "op5_chat": _OP5}
