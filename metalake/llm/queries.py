@@ -46,6 +46,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade(docs, fit(docs, read_table(spark, sf_dir, "labels"))).drop("text")
 
 
+def op7_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .jaccard import link_documents
+
+    return link_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ann import search
 
@@ -65,6 +71,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_packing": op4_packing,
         "op5_chat": op5_chat,
         "op6_quality": op6_quality,
+        "op7_jaccard": op7_jaccard,
         "op8_ann": op8_ann,
         "op10_ogg": op10_ogg,
     }
@@ -93,13 +100,5 @@ select conv_id, n_turns, sha256(encode(turns)) as turns_sha256, length(under)::b
 """
 
 
-_OP8 = """
-with v as (select vec_id, embedding::double[] as v from embeddings where embedding is not null and list_any_value(embedding) is not null),
-p as (select q.vec_id as query_id, c.vec_id, sqrt(list_sum(list_transform(list_zip(q.v, c.v), x -> (x[1] - x[2]) * (x[1] - x[2])))) as score
-  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id)
-select * from (select query_id, row_number() over (partition by query_id order by score, vec_id)::int as rank, vec_id, score from p) where rank <= 10
-"""
-
-
 def oracle_sql() -> dict[str, str]:
     return {"op1_warc": _OP1, "op5_chat": _OP5}
