@@ -58,6 +58,16 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import rates
+
+    docs = read_table(spark, sf_dir, "documents")
+    labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(read_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    found = rates(docs.select("doc_id", "text"), labelled, "even")
+    rows = found.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))  # repeated rows, each again
+    return rows.select("doc_id", "words", "posterior", "rate", "copies")
+
+
 def op10_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ogg import describe, to_media
 
@@ -73,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_jaccard": op7_jaccard,
         "op8_ann": op8_ann,
+        "op9_mixing": op9_mixing,
         "op10_ogg": op10_ogg,
     }
 
