@@ -16,6 +16,12 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(spark, read_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .suffix_dedup import digest
+
+    return digest(read_table(spark, sf_dir, "documents"))
+
+
 def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import held_out
 
@@ -77,6 +83,7 @@ def op10_ogg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_warc": op1_warc,
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_langid": op3_langid,
         "op4_packing": op4_packing,
         "op5_chat": op5_chat,
