@@ -369,7 +369,10 @@ def settle(steps: DataFrame) -> DataFrame:
         data = np.concatenate(texts)
         size = count.astype(np.int64) + DEPTH
         begin = np.cumsum(size) - size
-        order = np.lexsort((first, doc))
+        order = np.lexsort((count, first, doc))
+        again = np.zeros(len(order), bool)  # a repeated row brings its runs again
+        again[1:] = (np.diff(doc[order]) == 0) & (np.diff(first[order]) == 0) & (np.diff(count[order].astype(np.int64)) == 0)
+        order = order[~again]
         doc, first, count, begin = doc[order], first[order].astype(np.int64), count[order].astype(np.int64) + 1, begin[order]
         strings = np.lib.stride_tricks.sliding_window_view(data, DEPTH)
         levels = SuffixLevels()
