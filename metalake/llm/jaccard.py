@@ -7,8 +7,8 @@ equal sets are one class. Two classes link when 100 * intersection >= 80 * union
    shapes the order). Of a set of n, the first p = n - ceil(4n/5) + 1 + n // 10 are posted. Of two linked sets, let x's prefix end
    first: at most n // 5 of x's tokens are outside the other set and every common token of x's prefix is in the other's prefix, so they share
    at least p - n // 5 posted tokens. Tokens that one class alone has posted are dropped at once.
-2. *Groups.* Each class is compared with a leader: of the smallest classes under its tokens, that which it meets most often.
-   Verified links make similar classes one group; large groups are cut into chunks of bounded size.
+2. *Groups.* A class is compared with a leader: of the smallest classes under its tokens, that which it meets most often,
+   if it meets it often enough. Verified links make similar classes one group; large groups are cut into chunks of bounded size.
 3. *Matrix.* For each posted token the groups that have it: a class's count of posted tokens in a group's union bounds its
    overlap with every member. A group is opened only if that reaches p - n // 5, and only if it isn't already connected with the class.
 4. *Opening.* The class's whole set is compared with the group's union of whole sets, then with its members till one links: that is
@@ -34,7 +34,7 @@ from .common import U64, by_shard, chunks, collect_garbage, components, material
 
 WORDS = 5
 AT_ONCE = 4 << 20
-HEAVY, HEAVY_LOCAL = 100_000, 8  # size of the table of frequent tokens; documents of a chunk that make a token a candidate for it
+HEAVY, HEAVY_LOCAL = 300_000, 2  # size of the table of frequent tokens; documents of a chunk that make a token a candidate for it
 GROUP = 1 << 17  # shingles of a group's chunk
 
 
@@ -208,31 +208,53 @@ def shared(posted: DataFrame) -> DataFrame:
     return posted.repartition(partitions(posted.sparkSession), "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(fp, n, tokens binary) of the wanted classes (doc_id, fp), from the texts of one document of each."""
+def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: DataFrame, each: int) -> DataFrame:
+    """A link (a, b) for each asked (q, g) where class q links with a member of group g; members: (g, fp), all connected with each other.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, sets, i, j in _each(batches, 1):
-            fp = np.array([identity(s) for s in sets], np.int64)
-            right = np.flatnonzero(fp == b.column(0)[i:j].to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(fp[right]), pa.array([len(sets[k]) for k in right], pa.int64()), pa.array([sets[k].tobytes() for k in right], pa.binary())], ["fp", "n", "tokens"])
-
-    return docs.join(wanted, "doc_id").select("fp", "text").mapInArrow(run, "fp long, n long, tokens binary")
-
-
-def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    The sets are made where a class's text is, and go to their groups once. A group with more than `each` questions is
+    copied, so that none is asked more often than that in one place.
+    """
+    parts = asked.groupBy("g").agg(F.ceil(F.count("*") / each).alias("parts"))
+    inside = members.join(parts, "g").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    outside = asked.join(parts, "g").select("g", F.col("q").alias("fp"), F.pmod(F.xxhash64("q"), F.col("parts")).alias("part"))
+    role = lambda df, k: df.select("fp", F.struct(F.xxhash64("g", "part").alias("key"), F.lit(k).alias("role")).alias("role"))
+    roles = role(inside, 0).union(role(outside, 1)).groupBy("fp").agg(F.collect_list("role").alias("roles")).join(classes.select("fp", "doc_id"), "fp")
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, sets, i, j in _each(batches, 0):
+            rows: list[list] = [[], [], [], []]
+            for s, fp, roles in zip(sets, b.column(1)[i:j].to_pylist(), b.column(2)[i:j].to_pylist(), strict=True):
+                if identity(s) == fp:  # else another text of that doc_id
+                    raw = s.tobytes()
+                    for r in roles:
+                        for c, x in zip(rows, (r["key"], r["role"], fp, raw), strict=True):
+                            c.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["key", "role", "fp", "tokens"])
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, group, union = None, [], None
         for b in batches:
-            x, y = b.column(2).to_pylist(), b.column(3).to_pylist()
-            keep = np.array([linked(np.frombuffer(p, U64), np.frombuffer(q, U64)) for p, q in zip(x, y, strict=True)], bool)
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(keep)) for c in b.columns[:2]], ["a", "b"])
+            out: list[list] = [[], []]
+            for k, r, f, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if k != now:
+                    now, group, union = k, [], None
+                x = np.frombuffer(x, U64)
+                if r == 0:
+                    group.append((f, x))
+                    continue
+                if union is None:
+                    union = np.unique(np.concatenate([m for _, m in group])) if len(group) > 1 else group[0][1] if group else np.empty(0, U64)
+                if 5 * overlap(x, union) < 4 * len(x):
+                    continue
+                for m, y in group:
+                    if m != f and linked(x, y):
+                        out[0].append(f)
+                        out[1].append(m)
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
-    one = pairs.join(sets.select(F.col("fp").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("tb")), "b")
-    two = one.join(sets.select(F.col("fp").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("ta")), "a")
-    fit = 5 * F.least("na", "nb") >= 4 * F.greatest("na", "nb")
-    return two.where(fit).select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    sets = docs.join(roles, "doc_id").select("text", "fp", "roles").mapInArrow(make, "key long, role int, fp long, tokens binary")
+    return sets.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "role").mapInArrow(verify, "a long, b long")
 
 
 def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
@@ -293,34 +315,6 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     return met.join(groups.select(F.col("fp").alias("q"), "need"), "q").where("n >= need").select("q", "g")
 
 
-def open_groups(met: DataFrame, groups: DataFrame, sets: DataFrame) -> DataFrame:
-    """A link (a, b) for each (q, g) where q links with a member of g."""
-    members = sets.join(groups.select("fp", "g"), "fp").join(met.select("g").distinct(), "g", "left_semi")
-    blocks = members.groupBy("g").agg(F.collect_list(F.struct("fp", "tokens")).alias("members"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, union, sets_ = None, None, []
-        for b in batches:
-            a, c = [], []
-            for k in range(b.num_rows):
-                g = b.column(0)[k].as_py()
-                if g != last:
-                    sets_ = [(m["fp"], np.frombuffer(m["tokens"], U64)) for m in b.column(3)[k].as_py()]
-                    union, last = np.unique(np.concatenate([s for _, s in sets_])), g
-                x = np.frombuffer(b.column(2)[k].as_py(), U64)
-                if 5 * overlap(x, union) < 4 * len(x):
-                    continue
-                for f, y in sets_:
-                    if linked(x, y):
-                        a.append(b.column(1)[k].as_py())
-                        c.append(f)
-                        break
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
-
-    asked = met.join(sets.select(F.col("fp").alias("q"), "tokens"), "q")
-    return asked.join(blocks, "g").select("g", "q", "tokens", "members").mapInArrow(run, "a long, b long")
-
-
 def link_documents(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of docs (doc_id, text)."""
     spark: SparkSession = docs.sparkSession
@@ -337,30 +331,33 @@ def link_documents(docs: DataFrame) -> DataFrame:
     collect_garbage(spark)
     meet = found.where("kind = 0").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("met"))
     wanted = materialize(meet.join(classes, "fp").select("fp", "doc_id", "n", "met"), "jaccard-classes")
-    sets = materialize(sets_of(docs, wanted.select("doc_id", "fp")), "jaccard-tokens")
+    n = F.col("n")
+    least = (n - F.floor((4 * n + 4) / 5) + 1 + F.floor(n / 10) - F.floor(n / 5)).cast("long")
+    # the leader that a class meets most often; few meetings promise no link, and what links all the same is found below
+    pairs = found.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max(F.struct("n", "a")).alias("x"))
+    pairs = pairs.join(wanted.select(F.col("fp").alias("b"), least.alias("need")), "b").where("2 * x.n >= need").select(F.col("b").alias("q"), F.col("x.a").alias("g"))
+    pairs = materialize(pairs, "jaccard-leaders")
+    links = materialize(links_with(docs, wanted, pairs, pairs.select("g", F.col("g").alias("fp")).distinct(), 64), "jaccard-links")
     collect_garbage(spark)
-    leaders = found.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a"))
-    links = materialize(_verify(leaders.select("a", "b"), sets), "jaccard-links")
     near = components(links, "jaccard-components")
 
     named = wanted.join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     sizes = named.groupBy("component").agg(F.sum("n").alias("total"))
-    n = F.col("n")
-    least = n - F.floor((4 * n + 4) / 5) + 1 + F.floor(n / 10) - F.floor(n / 5)
     groups = named.join(sizes, "component").select(
         "fp", "component",
         F.xxhash64("component", F.pmod(F.xxhash64("fp"), F.ceil(F.col("total") / GROUP))).alias("g"),
-        F.when(F.col("met") >= least, least).cast("long").alias("need"),
+        F.when(F.col("met") >= least, least).alias("need"),
     )
     groups = materialize(groups, "jaccard-groups")
     met = materialize(meetings(found.where("kind = 2"), groups), "jaccard-met")
-    more = materialize(open_groups(met, groups, sets), "jaccard-more")
+    members = groups.select("g", "fp").join(met.select("g").distinct(), "g", "left_semi")
+    more = materialize(links_with(docs, wanted, met, members, 256), "jaccard-more")
+    collect_garbage(spark)
     whole = components(links.union(more), "jaccard-whole")
 
     # classes to documents: the smallest doc_id of each component, then each document's smallest over its rows
     label = each.join(whole.withColumnRenamed("node", "fp"), "fp", "left").select("doc_id", "n", F.when(F.col("n") > 0, F.coalesce("component", "fp")).alias("c"))
     least_id = label.where("c is not null").groupBy("c").agg(F.min("doc_id").alias("least"))
     out = label.join(least_id, "c", "left").select("doc_id", "n", F.coalesce("least", "doc_id").alias("least"))
-    for x in (found, sets):
-        release(x)
+    release(found)
     return out.groupBy("doc_id").agg(F.max("n").alias("n_shingles"), F.min("least").alias("component_id"))
