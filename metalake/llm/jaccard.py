@@ -7,8 +7,8 @@ equal sets are one class. Two classes link when 100 * intersection >= 80 * union
    shapes the order). Of a set of n, the first p = n - ceil(4n/5) + 1 + n // 10 are posted. Of two linked sets, let x's prefix end
    first: at most n // 5 of x's tokens are outside the other set and every common token of x's prefix is in the other's prefix, so they share
    at least p - n // 5 posted tokens. Tokens that one class alone has posted are dropped at once.
-2. *Groups.* A class is compared with a leader: of the smallest classes under its tokens, that which it meets most often,
-   if it meets it often enough. Verified links make similar classes one group; large groups are cut into chunks of bounded size.
+2. *Groups.* A class is compared with a leader: of the most central classes under its tokens (those that have most frequent tokens),
+   that which it meets most often, if it meets it often enough. Verified links make similar classes one group; large groups are cut into chunks of bounded size.
 3. *Matrix.* For each posted token the groups that have it: a class's count of posted tokens in a group's union bounds its
    overlap with every member. A group is opened only if that reaches p - n // 5, and only if it isn't already connected with the class.
 4. *Opening.* The class's whole set is compared with the group's union of whole sets, then with its members till one links: that is
@@ -135,16 +135,28 @@ def prefix(s: np.ndarray, heavy: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return np.concatenate((light, rest[np.argsort(rank[at[common]], kind="stable")][: p - len(light)]))
 
 
-def post(docs: DataFrame, heavy: np.ndarray, rank: np.ndarray, shards: int) -> DataFrame:
-    """(shard, block): posted tokens with their sets' hashes, packed by a hash of the token."""
+def centrality(s: np.ndarray, heavy: np.ndarray, weight: np.ndarray) -> int:
+    """How much of a set is frequent, from 0 to 65535: of a group of near copies, the text that all derive from has the most.
+
+    It chooses leaders only, so it may be coarse.
+    """
+    if not len(heavy):
+        return 0
+    at = np.searchsorted(heavy, s)
+    at[at == len(heavy)] = 0
+    return int(weight[at[heavy[at] == s]].sum() / len(s) * 2000)
+
+
+def post(docs: DataFrame, heavy: np.ndarray, rank: np.ndarray, weight: np.ndarray, shards: int) -> DataFrame:
+    """(shard, block): posted tokens with their sets' hashes and centralities, packed by a hash of the token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        tokens, owners, held = [], [], 0
+        tokens, owners, central, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
-            t, o = np.concatenate(tokens), np.concatenate(owners)
-            rows = [(k, pack([t[ix], o[ix]])) for k, ix in by_shard(t, shards)]
+            t, o, c = np.concatenate(tokens), np.concatenate(owners), np.concatenate(central)
+            rows = [(k, pack([t[ix], o[ix], c[ix]])) for k, ix in by_shard(t, shards)]
             return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["shard", "block"])
 
         for _, sets, _, _ in _each(batches):
@@ -155,10 +167,11 @@ def post(docs: DataFrame, heavy: np.ndarray, rank: np.ndarray, shards: int) -> D
                 t = prefix(s, heavy, rank)
                 tokens.append(t)
                 owners.append(np.full(len(t), f, np.int64))
+                central.append(np.full(len(t), centrality(s, heavy, weight), np.uint16))
                 held += len(t)
             if held >= 2_000_000:
                 yield flush()
-                tokens, owners, held = [], [], 0
+                tokens, owners, central, held = [], [], [], 0
         if held:
             yield flush()
 
@@ -171,9 +184,8 @@ def shared(posted: DataFrame) -> DataFrame:
     schema = "kind long, a long, b long, n long, block binary"
 
     def finish(blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(x, ["u8", "i8"]) for x in blocks]
-        t, f = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-        order = np.lexsort((f, t))
+        t, f, c = (np.concatenate(x) for x in zip(*(unpack(x, ["u8", "i8", "u2"]) for x in blocks), strict=True))
+        order = np.lexsort((f, 65535 - c, t))  # the most central first: it leads
         t, f = t[order], f[order]
         new = np.concatenate(([True], (t[1:] != t[:-1]) | (f[1:] != f[:-1])))
         t, f = t[new], f[new]
@@ -260,7 +272,8 @@ def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: D
 def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     """(q, g): classes and groups of other components whose posted tokens they share at least `need` of.
 
-    groups: (fp, component, g, need), need null for a class that shares too few posted tokens with all others together.
+    groups: (fp, component, g, need), need null for a class that shares too few posted tokens with all others together; g is odd
+    for a group of one class. Two such groups are asked about once.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -312,7 +325,9 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
     known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "g", "need")
     dealt = known.repartition(partitions(blocks.sparkSession), "t").sortWithinPartitions("t")
     met = dealt.mapInArrow(run, "q long, g long, n long").groupBy("q", "g").agg(F.sum("n").alias("n"))
-    return met.join(groups.select(F.col("fp").alias("q"), "need"), "q").where("n >= need").select("q", "g")
+    met = met.join(groups.select(F.col("fp").alias("q"), "need", F.col("g").alias("own")), "q").where("n >= need")
+    single = "own & g & 1 = 1"
+    return met.withColumn("lo", F.expr(f"if({single}, least(own, g), q)")).withColumn("hi", F.expr(f"if({single}, greatest(own, g), g)")).dropDuplicates(["lo", "hi"]).select("q", "g")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -325,9 +340,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     top = first.where("kind = 1").groupBy("key").agg(F.sum("n").alias("df")).orderBy(F.desc("df"), "key").limit(HEAVY).collect()
     heavy = np.array([r["key"] for r in top], np.int64).view(U64)
     order = np.argsort(heavy)
-    heavy, rank = heavy[order], np.argsort(np.argsort(np.array([r["df"] for r in top], np.int64)[order], kind="stable"), kind="stable")
+    df = np.array([r["df"] for r in top], np.int64)[order]
+    heavy, rank, weight = heavy[order], np.argsort(np.argsort(df, kind="stable"), kind="stable"), np.minimum(np.log2(df), 32)
 
-    found = materialize(shared(post(docs, heavy, rank, 4 * partitions(spark))), "jaccard-shared")
+    found = materialize(shared(post(docs, heavy, rank, weight, 4 * partitions(spark))), "jaccard-shared")
     collect_garbage(spark)
     meet = found.where("kind = 0").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("met"))
     wanted = materialize(meet.join(classes, "fp").select("fp", "doc_id", "n", "met"), "jaccard-classes")
@@ -342,10 +358,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
     near = components(links, "jaccard-components")
 
     named = wanted.join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    sizes = named.groupBy("component").agg(F.sum("n").alias("total"))
+    sizes = named.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("classes"))
     groups = named.join(sizes, "component").select(
         "fp", "component",
-        F.xxhash64("component", F.pmod(F.xxhash64("fp"), F.ceil(F.col("total") / GROUP))).alias("g"),
+        F.expr(f"xxhash64(component, if(classes = 1, 0, pmod(xxhash64(fp), ceil(total / {GROUP})))) & ~1L | if(classes = 1, 1L, 0L)").alias("g"),
         F.when(F.col("met") >= least, least).alias("need"),
     )
     groups = materialize(groups, "jaccard-groups")
