@@ -10,7 +10,8 @@ equal sets are one class. Two classes link when 100 * intersection >= 80 * union
 2. *Groups.* A class is compared with a leader: of the most central classes under its tokens (those that have most frequent tokens),
    that which it meets most often, if it meets it often enough. Verified links make similar classes one group; large groups are cut into chunks of bounded size.
 3. *Matrix.* For each posted token the groups that have it: a class's count of posted tokens in a group's union bounds its
-   overlap with every member. A group is opened only if that reaches p - n // 5, and only if it isn't already connected with the class.
+   overlap with every member. Either may have the prefix that ends first, so a group is opened only if that reaches p - n // 5 of the smallest
+   size that can link with the class. Of two components the one with fewer classes asks the other, and it asks none that it is connected with.
 4. *Opening.* The class's whole set is compared with the group's union of whole sets, then with its members till one links: that is
    enough, since a group's members are connected already.
 
@@ -270,10 +271,9 @@ def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: D
 
 
 def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
-    """(q, g): classes and groups of other components whose posted tokens they share at least `need` of.
+    """(q, g): classes and groups of larger components (of equal ones, those with the greater number) whose posted tokens they share at least `need` of.
 
-    groups: (fp, component, g, need), need null for a class that shares too few posted tokens with all others together; g is odd
-    for a group of one class. Two such groups are asked about once.
+    groups: (fp, component, classes, g, need), need null for a class that shares too few posted tokens with all others together.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,52 +282,42 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
                 t, f = unpack(x, ["u8", "i8"])
                 yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(f)], ["t", "fp"])
 
-    def finish(g: np.ndarray, comp: np.ndarray, q: np.ndarray, able: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
-        first = np.unique(g, return_index=True)[1]
-        q, own = q[able], comp[able]
-        if not len(q):
-            return None
-        apart = own[:, None] != comp[first][None, :]
-        i, j = np.nonzero(apart)
-        return q[i], g[first][j]
+    def finish(t: np.ndarray, f: np.ndarray, c: np.ndarray, z: np.ndarray, g: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((g, c, z, t))
+        t, f, c, g, n = (a[order] for a in (t, f, c, g, n))
+        token = np.concatenate(([True], t[1:] != t[:-1]))
+        comp = token | np.concatenate(([True], c[1:] != c[:-1]))
+        group = comp | np.concatenate(([True], g[1:] != g[:-1]))
+        at, groups = np.cumsum(group), g[group]  # at: where a row's next group stands
+        ends = lambda new: at[np.append(np.flatnonzero(new)[1:], len(at)) - 1][np.cumsum(new) - 1]
+        after, end = ends(comp), ends(token)
+        asks = np.flatnonzero((n >= 0) & (end > after))
+        for i, j in chunks((end - after)[asks].tolist(), 1_000_000):
+            k = asks[i:j]
+            m = end[k] - after[k]
+            to = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m - after[k], m)
+            pair, met = np.unique(np.stack((np.repeat(f[k], m), groups[to]), axis=1), axis=0, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(met.astype(np.int64))], ["q", "g", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        qs, gs, held = [], [], 0
+        held: list[list[np.ndarray]] = []
         for b in batches:
-            t, f, c, g, n = (np.asarray(x.fill_null(-1).to_numpy(zero_copy_only=False), np.int64) for x in b.columns)
-            if rest is not None:
-                t, f, c, g, n = (np.concatenate(x) for x in zip(rest, (t, f, c, g, n), strict=True))
-            starts = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
-            lo = np.minimum.reduceat(c, starts)
-            hi = np.maximum.reduceat(c, starts)
-            ends = np.append(starts[1:], len(t))
-            for k in np.flatnonzero(lo[:-1] != hi[:-1]):
-                s = slice(starts[k], ends[k])
-                if (x := finish(g[s], c[s], f[s], n[s] >= 0)) is not None:
-                    qs.append(x[0])
-                    gs.append(x[1])
-                    held += len(x[0])
-            rest = tuple(a[starts[-1] :] for a in (t, f, c, g, n))
-            if held >= 500_000:
-                yield counted(qs, gs)
-                qs, gs, held = [], [], 0
-        if rest is not None and (x := finish(rest[3], rest[2], rest[1], rest[4] >= 0)) is not None:
-            qs.append(x[0])
-            gs.append(x[1])
-        if qs:
-            yield counted(qs, gs)
-
-    def counted(qs: list, gs: list) -> pa.RecordBatch:
-        pair, n = np.unique(np.stack((np.concatenate(qs), np.concatenate(gs)), axis=1), axis=0, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(n.astype(np.int64))], ["q", "g", "n"])
-
-    known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "g", "need")
+            rows = [np.asarray(x.fill_null(-1).to_numpy(zero_copy_only=False), np.int64) for x in b.columns]
+            if not len(rows[0]):
+                continue
+            held.append(rows)
+            if sum(len(x[0]) for x in held) >= 500_000 and held[0][0][0] != rows[0][-1]:
+                rows = [np.concatenate(x) for x in zip(*held, strict=True)]
+                cut = int(np.flatnonzero(rows[0] != rows[0][-1])[-1]) + 1  # the last token may go on
+                yield from finish(*(x[:cut] for x in rows))
+                held = [[x[cut:] for x in rows]]
+        if held:
+            yield from finish(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "classes", "g", "need")
     dealt = known.repartition(partitions(blocks.sparkSession), "t").sortWithinPartitions("t")
     met = dealt.mapInArrow(run, "q long, g long, n long").groupBy("q", "g").agg(F.sum("n").alias("n"))
-    met = met.join(groups.select(F.col("fp").alias("q"), "need", F.col("g").alias("own")), "q").where("n >= need")
-    single = "own & g & 1 = 1"
-    return met.withColumn("lo", F.expr(f"if({single}, least(own, g), q)")).withColumn("hi", F.expr(f"if({single}, greatest(own, g), g)")).dropDuplicates(["lo", "hi"]).select("q", "g")
+    return met.join(groups.select(F.col("fp").alias("q"), "need"), "q").where("n >= need").select("q", "g")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -348,7 +338,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     meet = found.where("kind = 0").groupBy(F.col("a").alias("fp")).agg(F.sum("n").alias("met"))
     wanted = materialize(meet.join(classes, "fp").select("fp", "doc_id", "n", "met"), "jaccard-classes")
     n = F.col("n")
-    least = (n - F.floor((4 * n + 4) / 5) + 1 + F.floor(n / 10) - F.floor(n / 5)).cast("long")
+    least = F.expr("(4 * n + 4) div 5 div 10 + 1")  # need() of the smallest set that can link with one of n
     # the leader that a class meets most often; few meetings promise no link, and what links all the same is found below
     pairs = found.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max(F.struct("n", "a")).alias("x"))
     pairs = pairs.join(wanted.select(F.col("fp").alias("b"), least.alias("need")), "b").where("2 * x.n >= need").select(F.col("b").alias("q"), F.col("x.a").alias("g"))
@@ -360,8 +350,8 @@ def link_documents(docs: DataFrame) -> DataFrame:
     named = wanted.join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     sizes = named.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("classes"))
     groups = named.join(sizes, "component").select(
-        "fp", "component",
-        F.expr(f"xxhash64(component, if(classes = 1, 0, pmod(xxhash64(fp), ceil(total / {GROUP})))) & ~1L | if(classes = 1, 1L, 0L)").alias("g"),
+        "fp", "component", "classes",
+        F.xxhash64("component", F.pmod(F.xxhash64("fp"), F.ceil(F.col("total") / GROUP))).alias("g"),
         F.when(F.col("met") >= least, least).alias("need"),
     )
     groups = materialize(groups, "jaccard-groups")
