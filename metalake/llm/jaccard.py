@@ -8,12 +8,14 @@ equal sets are one class. Two classes link when 100 * intersection >= 80 * union
    first: at most n // 5 of x's tokens are outside the other set and every common token of x's prefix is in the other's prefix, so they share
    at least p - n // 5 posted tokens. Tokens that one class alone has posted are dropped at once.
 2. *Groups.* A class is compared with a leader: of the most central classes under its tokens (those that have most frequent tokens),
-   that which it meets most often, if it meets it often enough. Verified links make similar classes one group; large groups are cut into chunks of bounded size.
+   that which it meets most often, if it meets it often enough. Verified links make components; a component joins the cluster of the
+   other component that its classes' leaders meet most, linked or not. A cluster is cut into groups of bounded size.
 3. *Matrix.* For each posted token the groups that have it: a class's count of posted tokens in a group's union bounds its
    overlap with every member. Either may have the prefix that ends first, so a group is opened only if that reaches p - n // 5 of the smallest
-   size that can link with the class. Of two components the one with fewer classes asks the other, and it asks none that it is connected with.
-4. *Opening.* The class's whole set is compared with the group's union of whole sets, then with its members till one links: that is
-   enough, since a group's members are connected already.
+   size that can link with the class. Of two groups the one of the smaller cluster asks the other; a group asks itself unless
+   its members are connected already.
+4. *Opening.* The class's whole set is compared with the group's union of whole sets, then, by the members under each token, with all of
+   them at once. Of the links only those are kept that connect something more.
 
 Nothing is sampled and no candidate is dropped but by these bounds. 64-bit hashes stand for shingles and for sets.
 
@@ -31,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, by_shard, chunks, collect_garbage, components, materialize, mix64, multipliers, pack, partitions, release, unpack, utf8, word_hashes
+from .common import U64, attach_minimum, by_shard, chunks, collect_garbage, components, materialize, mix64, multipliers, pack, partitions, release, unpack, utf8, word_hashes
 
 WORDS = 5
 AT_ONCE = 4 << 20
@@ -222,7 +224,9 @@ def shared(posted: DataFrame) -> DataFrame:
 
 
 def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: DataFrame, each: int) -> DataFrame:
-    """A link (a, b) for each asked (q, g) where class q links with a member of group g; members: (g, fp), all connected with each other.
+    """Links (a, b) that connect each asked (q, g)'s class q with all members of group g that it links with; members: (g, fp).
+
+    Links that connect nothing more in one place are left out, so their number keeps to that of questions and members.
 
     The sets are made where a class's text is, and go to their groups once. A group with more than `each` questions is
     copied, so that none is asked more often than that in one place.
@@ -245,25 +249,44 @@ def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: D
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, (pa.int64(), pa.int32(), pa.int64(), pa.binary()), strict=True)], ["key", "role", "fp", "tokens"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, group, union = None, [], None
+        now, group = None, []
+        matrix: tuple | None = None
+        parent: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = parent[up]
+                x = up
+            return x
+
         for b in batches:
             out: list[list] = [[], []]
             for k, r, f, x in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if k != now:
-                    now, group, union = k, [], None
+                    now, group, matrix, parent = k, [], None, {}
                 x = np.frombuffer(x, U64)
                 if r == 0:
                     group.append((f, x))
                     continue
-                if union is None:
-                    union = np.unique(np.concatenate([m for _, m in group])) if len(group) > 1 else group[0][1] if group else np.empty(0, U64)
-                if 5 * overlap(x, union) < 4 * len(x):
+                if not group:
+                    continue
+                if matrix is None:  # the union's tokens, each with the members that have it
+                    sizes = np.array([len(m) for _, m in group], np.int64)
+                    tokens, owner = np.concatenate([m for _, m in group]), np.repeat(np.arange(len(group)), sizes)
+                    order = np.argsort(tokens, kind="stable")
+                    matrix = tokens[order], owner[order], sizes, [m for m, _ in group]
+                tokens, owner, sizes, names = matrix
+                lo = np.searchsorted(tokens, x, "left")
+                m = np.searchsorted(tokens, x, "right") - lo
+                if 5 * np.count_nonzero(m) < 4 * len(x):
                     continue
-                for m, y in group:
-                    if m != f and linked(x, y):
+                to = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m - lo, m)
+                both = np.bincount(owner[to], minlength=len(sizes))
+                for i in np.flatnonzero((both > 0) & (100 * both >= 80 * (len(x) + sizes - both))).tolist():
+                    if (u := root(f)) != (v := root(names[i])):
+                        parent[u] = v
                         out[0].append(f)
-                        out[1].append(m)
-                        break
+                        out[1].append(names[i])
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
     sets = docs.join(roles, "doc_id").select("text", "fp", "roles").mapInArrow(make, "key long, role int, fp long, tokens binary")
@@ -271,9 +294,10 @@ def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: D
 
 
 def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
-    """(q, g): classes and groups of larger components (of equal ones, those with the greater number) whose posted tokens they share at least `need` of.
+    """(q, g): classes and groups, their own and those of larger clusters (of equal ones, later ones), whose posted tokens they share at least `need` of.
 
-    groups: (fp, component, classes, g, need), need null for a class that shares too few posted tokens with all others together.
+    groups: (fp, component, classes, g, pure, need): the number of classes of its cluster; pure, the component of all members of g, if
+    they have one; need null for a class that shares too few posted tokens with all others together.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,21 +306,22 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
                 t, f = unpack(x, ["u8", "i8"])
                 yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(f)], ["t", "fp"])
 
-    def finish(t: np.ndarray, f: np.ndarray, c: np.ndarray, z: np.ndarray, g: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        order = np.lexsort((g, c, z, t))
-        t, f, c, g, n = (a[order] for a in (t, f, c, g, n))
+    def finish(t: np.ndarray, f: np.ndarray, c: np.ndarray, z: np.ndarray, g: np.ndarray, p: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        order = np.lexsort((g, z, t))
+        t, f, c, g, p, n = (a[order] for a in (t, f, c, g, p, n))
         token = np.concatenate(([True], t[1:] != t[:-1]))
-        comp = token | np.concatenate(([True], c[1:] != c[:-1]))
-        group = comp | np.concatenate(([True], g[1:] != g[:-1]))
-        at, groups = np.cumsum(group), g[group]  # at: where a row's next group stands
-        ends = lambda new: at[np.append(np.flatnonzero(new)[1:], len(at)) - 1][np.cumsum(new) - 1]
-        after, end = ends(comp), ends(token)
+        group = token | np.concatenate(([True], g[1:] != g[:-1]))
+        at, groups, whole = np.cumsum(group), g[group], p[group]
+        after, end = at - 1, at[np.append(np.flatnonzero(token)[1:], len(at)) - 1][np.cumsum(token) - 1]  # its own group, its token's last one
+        after = after + (p == c)
         asks = np.flatnonzero((n >= 0) & (end > after))
         for i, j in chunks((end - after)[asks].tolist(), 1_000_000):
             k = asks[i:j]
             m = end[k] - after[k]
             to = np.arange(int(m.sum())) - np.repeat(np.cumsum(m) - m - after[k], m)
-            pair, met = np.unique(np.stack((np.repeat(f[k], m), groups[to]), axis=1), axis=0, return_counts=True)
+            q, own = np.repeat(f[k], m), np.repeat(c[k], m)
+            apart = whole[to] != own
+            pair, met = np.unique(np.stack((q[apart], groups[to][apart]), axis=1), axis=0, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(met.astype(np.int64))], ["q", "g", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +339,7 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
         if held:
             yield from finish(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "classes", "g", "need")
+    known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "classes", "g", "pure", "need")
     dealt = known.repartition(partitions(blocks.sparkSession), "t").sortWithinPartitions("t")
     met = dealt.mapInArrow(run, "q long, g long, n long").groupBy("q", "g").agg(F.sum("n").alias("n"))
     return met.join(groups.select(F.col("fp").alias("q"), "need"), "q").where("n >= need").select("q", "g")
@@ -341,23 +366,31 @@ def link_documents(docs: DataFrame) -> DataFrame:
     least = F.expr("(4 * n + 4) div 5 div 10 + 1")  # need() of the smallest set that can link with one of n
     # the leader that a class meets most often; few meetings promise no link, and what links all the same is found below
     pairs = found.where("kind = 1").groupBy("a", "b").agg(F.sum("n").alias("n")).groupBy("b").agg(F.max(F.struct("n", "a")).alias("x"))
-    pairs = pairs.join(wanted.select(F.col("fp").alias("b"), least.alias("need")), "b").where("2 * x.n >= need").select(F.col("b").alias("q"), F.col("x.a").alias("g"))
+    pairs = pairs.join(wanted.select(F.col("fp").alias("b"), least.alias("need")), "b").where("2 * x.n >= need").select(F.col("b").alias("q"), F.col("x.a").alias("g"), F.col("x.n").alias("n"))
     pairs = materialize(pairs, "jaccard-leaders")
-    links = materialize(links_with(docs, wanted, pairs, pairs.select("g", F.col("g").alias("fp")).distinct(), 64), "jaccard-links")
+    links = materialize(links_with(docs, wanted, pairs, pairs.select("g", F.col("g").alias("fp")).distinct(), 1024), "jaccard-links")
     collect_garbage(spark)
     near = components(links, "jaccard-components")
 
     named = wanted.join(near.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-    sizes = named.groupBy("component").agg(F.sum("n").alias("total"), F.count("*").alias("classes"))
-    groups = named.join(sizes, "component").select(
+    named = materialize(named, "jaccard-named")
+    where = named.select("fp", "component")
+    toward = attach_minimum(pairs.select("q", "n", F.col("g").alias("fp")), where, ["fp"], "q").select("q", "n", F.col("component").alias("other"))
+    toward = toward.join(where.withColumnRenamed("fp", "q"), "q").where("component <> other").groupBy("component").agg(F.max(F.struct("n", "other")).alias("x"))
+    named = named.join(toward.select("component", F.col("x.other").alias("other")), "component", "left").withColumn("cluster", F.coalesce("other", "component"))
+    sizes = named.groupBy("cluster").agg(F.sum("n").alias("total"), F.count("*").alias("classes"))
+    groups = attach_minimum(named, sizes, ["cluster"], "fp").select(
         "fp", "component", "classes",
-        F.xxhash64("component", F.pmod(F.xxhash64("fp"), F.ceil(F.col("total") / GROUP))).alias("g"),
+        F.xxhash64("cluster", F.pmod(F.xxhash64("fp"), F.ceil(F.col("total") / GROUP))).alias("g"),
         F.when(F.col("met") >= least, least).alias("need"),
     )
+    groups = materialize(groups, "jaccard-dealt")
+    whole_groups = groups.groupBy("g").agg(F.min("component").alias("pure"), F.max("component").alias("last")).select("g", F.expr("if(pure = last, pure, null)").alias("pure"))
+    groups = attach_minimum(groups, whole_groups, ["g"], "fp")
     groups = materialize(groups, "jaccard-groups")
     met = materialize(meetings(found.where("kind = 2"), groups), "jaccard-met")
     members = groups.select("g", "fp").join(met.select("g").distinct(), "g", "left_semi")
-    more = materialize(links_with(docs, wanted, met, members, 256), "jaccard-more")
+    more = materialize(links_with(docs, wanted, met, members, 1024), "jaccard-more")
     collect_garbage(spark)
     whole = components(links.union(more), "jaccard-whole")
 
