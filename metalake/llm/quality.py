@@ -4,8 +4,8 @@ Grades are ordered: 0 toxic, 1 low quality, 2 good. One vector of weights over h
 shared by all grades; P(grade <= k) = sigmoid(threshold_k - w.x) with ordered thresholds. Each document gets its expected grade and the tail probabilities
 P(grade >= 1) and P(grade >= 2); it is kept if both reach a limit.
 
-The model is fitted on a bounded sample of at most about `SAMPLE` rated documents, whose words are taken in full: three
-quarters give the weights, the last quarter the limits, which about the shares `LOST` of its good documents miss.
+The model is fitted on a bounded sample of at most about `SAMPLE` rated documents, whose words are taken in full; they are
+hashed where the documents are, and the driver gets the hashes alone. Three quarters give the weights, the last quarter the limits, which about the shares `LOST` of its good documents miss.
 
 Null and empty texts have no words and get whatever the measures say of an empty text: grade as of no evidence, not kept.
 Ratings that are null, or whose document isn't there, are left out; without any rating all documents are kept with grade 2.
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, chunks, utf8, word_hashes
+from .common import U64, chunks, materialize, release, utf8, word_hashes
 
 BITS = 18
 SAMPLE = 8_000
@@ -66,6 +66,16 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return keys & ((1 << BITS) - 1), starts, m
 
 
+Features = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _pick(f: Features, which: np.ndarray) -> Features:
+    """The features of the chosen texts."""
+    slots, starts, m = f
+    size = np.diff(starts)
+    return slots[np.repeat(which, size)], np.concatenate(([0], np.cumsum(size[which]))), m[which]
+
+
 @dataclass
 class Model:
     weights: np.ndarray
@@ -79,10 +89,13 @@ class Model:
         """P(grade >= 1), P(grade >= 2) of each text."""
         out = np.zeros((len(texts), 2))
         for i, j in chunks(map(len, texts), AT_ONCE):
-            slots, starts, m = features(texts[i:j])
-            out[i:j] = self._tails(_sums(self.weights[slots], starts) + ((m - self.mean) / self.scale) @ self.measures)
+            out[i:j] = self.tails(features(texts[i:j]))
         return out
 
+    def tails(self, f: Features) -> np.ndarray:
+        slots, starts, m = f
+        return self._tails(_sums(self.weights[slots], starts) + ((m - self.mean) / self.scale) @ self.measures)
+
     def _tails(self, z: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - z[:, None], -500, 500)))
 
@@ -93,11 +106,11 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return total[starts[1:]] - total[starts[:-1]]
 
 
-def train(texts: list[bytes], grades: np.ndarray) -> Model:
+def train(rated: Features, grades: np.ndarray) -> Model:
     """Weights from three of four rated texts, limits from the others."""
-    held = np.arange(len(texts)) % 4 == 3
-    model = _weights([t for t, h in zip(texts, held, strict=True) if not h], grades[~held])
-    good = model.probabilities([t for t, h in zip(texts, held & (grades == 2), strict=True) if h])
+    held = np.arange(len(grades)) % 4 == 3
+    model = _weights(_pick(rated, ~held), grades[~held])
+    good = model.tails(_pick(rated, held & (grades == 2)))
     model.least = tuple(float(np.quantile(good[:, k], LOST[k])) if len(good) >= 50 else 0.5 for k in (0, 1))
     return model
 
@@ -115,11 +128,11 @@ def _telling(slots: np.ndarray, graded: np.ndarray, grades: np.ndarray) -> np.nd
     return out
 
 
-def _weights(texts: list[bytes], grades: np.ndarray) -> Model:
-    slots, starts, m = features(texts)
+def _weights(rated: Features, grades: np.ndarray) -> Model:
+    slots, starts, m = rated
     mean, scale = m.mean(axis=0), m.std(axis=0) + 1e-6
     x = (m - mean) / scale
-    n, owner = len(texts), np.repeat(np.arange(len(texts)), np.diff(starts))
+    n, owner = len(grades), np.repeat(np.arange(len(grades)), np.diff(starts))
     share = np.bincount(grades, minlength=3) + 1.0
     weight = (1 / np.sqrt(share))[grades]
     weight /= weight.sum()
@@ -161,9 +174,24 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not n:
         return None
     drawn = rated.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < min(1 << 30, (SAMPLE << 30) // n))
-    rows = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")  # about SAMPLE rows at most
-    taken = sorted(((r["doc_id"], (r["text"] or "").encode(), r["grade"]) for r in rows.toLocalIterator()))
-    return train([t for _, t, _ in taken], np.array([g for _, _, g in taken])) if taken else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = utf8(b.column(1))
+            for i, j in chunks(map(len, texts), AT_ONCE):
+                slots, starts, m = features(texts[i:j])
+                words = [slots[x:y].astype(np.uint32).tobytes() for x, y in zip(starts, starts[1:], strict=False)]
+                yield pa.RecordBatch.from_arrays([b.column(0)[i:j], b.column(2)[i:j], pa.array(words, pa.binary()), pa.array([x.tobytes() for x in m], pa.binary())], ["doc_id", "grade", "slots", "measures"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")  # about SAMPLE rows at most
+    sample = materialize(rows.mapInArrow(run, "doc_id long, grade int, slots binary, measures binary"), "quality-sample")
+    taken = sorted((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in sample.toLocalIterator())
+    release(sample)
+    if not taken:
+        return None
+    slots = [np.frombuffer(s, np.uint32) for _, _, s, _ in taken]
+    starts = np.concatenate(([0], np.cumsum([len(s) for s in slots])))
+    return train((np.concatenate(slots).astype(np.int64), starts, np.array([np.frombuffer(m) for *_, m in taken])), np.array([g for _, g, *_ in taken]))
 
 
 SCHEMA = "expected_grade double, p_at_least_low double, p_good double, keep boolean"
