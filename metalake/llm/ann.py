@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, partitions
+from .common import materialize, partitions, thrifty
 
 BOOKS, WORDS, BEAM = 12, 128, 4
 SAMPLE, ROUNDS = 4096, 5
@@ -103,7 +103,7 @@ def build(vectors: DataFrame, quantizer: Quantizer, groups: int) -> DataFrame:
                 norms = (quantizer.decode(codes).astype(np.float64) ** 2).sum(axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array([int(i[0]) % groups], pa.int32()), *(pa.array([a.tobytes()], pa.binary()) for a in (i, codes, norms, y))], ["g", "ids", "codes", "norms", "vectors"])
 
-    return vectors.mapInArrow(run, INDEX)
+    return vectors.mapInArrow(thrifty(run), INDEX)
 
 
 def query_blocks(vectors: DataFrame, chosen: Column, d: int) -> DataFrame:
@@ -122,7 +122,7 @@ def query_blocks(vectors: DataFrame, chosen: Column, d: int) -> DataFrame:
             x = np.concatenate(rows)[at : at + QUERIES]
             yield pa.RecordBatch.from_arrays([pa.array([np.array(ids[at : at + QUERIES], np.int64).tobytes()], pa.binary()), pa.array([x.tobytes()], pa.binary())], ["qids", "queries"])
 
-    return vectors.where(chosen).mapInArrow(run, "qids binary, queries binary")
+    return vectors.where(chosen).mapInArrow(thrifty(run), "qids binary, queries binary")
 
 
 def score_block(quantizer: Quantizer, qids: np.ndarray, q: np.ndarray, ids: np.ndarray, codes: np.ndarray, norms: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,6 +170,6 @@ def search(rows: DataFrame, chosen: Column, k: int = 10) -> DataFrame:
                 found = score_block(quantizer, qids, get("queries", np.float64).reshape(-1, d), ids, get("codes", np.uint8).reshape(len(ids), -1), get("norms", np.float64), get("vectors", np.float64).reshape(-1, d), k)
                 yield pa.RecordBatch.from_arrays([pa.array(a) for a in found], ["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, "query_id long, vec_id long, score double")
+    found = met.mapInArrow(thrifty(run), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+M_MMAP_THRESHOLD = -3  # of mallopt
 
 
 # ---------------------------------------------------------------- storage
@@ -54,6 +56,23 @@ def collect_garbage(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run for mapInArrow, in a worker that keeps no freed memory: workers live on between tasks, beside the executor's heap."""
+
+    def kept_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        libc = ctypes.CDLL(None)
+        if hasattr(libc, "mallopt"):
+            libc.mallopt(M_MMAP_THRESHOLD, 2 << 20)
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return kept_small
+
+
 def open_fs(uri: str):
     """(pyarrow file system, path) of a shared URI; works on executors without a JVM."""
     from pyarrow import fs

@@ -33,10 +33,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, attach_minimum, by_shard, chunks, collect_garbage, components, materialize, mix64, multipliers, pack, partitions, release, unpack, utf8, word_hashes
+from .common import U64, attach_minimum, by_shard, chunks, collect_garbage, components, materialize, mix64, multipliers, pack, partitions, release, thrifty, unpack, utf8, word_hashes
 
 WORDS = 5
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 HEAVY, HEAVY_LOCAL = 300_000, 2  # size of the table of frequent tokens; documents of a chunk that make a token a candidate for it
 GROUP = 1 << 17  # shingles of a group's chunk
 
@@ -116,7 +116,7 @@ def measure(docs: DataFrame) -> DataFrame:
             if many.any():
                 yield _long(kind=np.ones(int(many.sum()), np.int64), key=tokens[many].view(np.int64), n=df[many].astype(np.int64), fp=np.zeros(int(many.sum()), np.int64))
 
-    return docs.mapInArrow(run, "kind long, key long, n long, fp long")
+    return docs.mapInArrow(thrifty(run), "kind long, key long, n long, fp long")
 
 
 def _long(**columns: np.ndarray) -> pa.RecordBatch:
@@ -178,7 +178,7 @@ def post(docs: DataFrame, heavy: np.ndarray, rank: np.ndarray, weight: np.ndarra
         if held:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "shard int, block binary")
+    return docs.select("text").mapInArrow(thrifty(run), "shard int, block binary")
 
 
 def shared(posted: DataFrame) -> DataFrame:
@@ -220,7 +220,7 @@ def shared(posted: DataFrame) -> DataFrame:
         if blocks:
             yield from finish(blocks)
 
-    return posted.repartition(partitions(posted.sparkSession), "shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return posted.repartition(partitions(posted.sparkSession), "shard").sortWithinPartitions("shard").mapInArrow(thrifty(run), schema)
 
 
 def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: DataFrame, each: int) -> DataFrame:
@@ -289,8 +289,8 @@ def links_with(docs: DataFrame, classes: DataFrame, asked: DataFrame, members: D
                         out[1].append(names[i])
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["a", "b"])
 
-    sets = docs.join(roles, "doc_id").select("text", "fp", "roles").mapInArrow(make, "key long, role int, fp long, tokens binary")
-    return sets.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "role").mapInArrow(verify, "a long, b long")
+    sets = docs.join(roles, "doc_id").select("text", "fp", "roles").mapInArrow(thrifty(make), "key long, role int, fp long, tokens binary")
+    return sets.repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "role").mapInArrow(thrifty(verify), "a long, b long")
 
 
 def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
@@ -339,9 +339,9 @@ def meetings(blocks: DataFrame, groups: DataFrame) -> DataFrame:
         if held:
             yield from finish(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
-    known = blocks.select("block").mapInArrow(rows, "t long, fp long").join(groups, "fp").select("t", "fp", "component", "classes", "g", "pure", "need")
+    known = blocks.select("block").mapInArrow(thrifty(rows), "t long, fp long").join(groups, "fp").select("t", "fp", "component", "classes", "g", "pure", "need")
     dealt = known.repartition(partitions(blocks.sparkSession), "t").sortWithinPartitions("t")
-    met = dealt.mapInArrow(run, "q long, g long, n long").groupBy("q", "g").agg(F.sum("n").alias("n"))
+    met = dealt.mapInArrow(thrifty(run), "q long, g long, n long").groupBy("q", "g").agg(F.sum("n").alias("n"))
     return met.join(groups.select(F.col("fp").alias("q"), "need"), "q").where("n >= need").select("q", "g")
 
 

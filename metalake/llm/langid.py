@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, thrifty
 
 TRAIN_DOCS, TRAIN_EACH, TRAIN_CHARS, MOST_LANGUAGES = 300, 4000, 50_000, 64
 SEGMENT, AT_ONCE = 512, 2 << 20
@@ -215,7 +215,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
             names, scores = model.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), "doc_id long, lang_pred string, score double")
 
 
 def held_out(docs: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import utf8
+from .common import thrifty, utf8
 
 BLOCK = 192
 PACKET = 192 * 20
@@ -191,7 +191,7 @@ def to_media(docs: DataFrame) -> DataFrame:
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), pa.array([encode(t) for t in utf8(b.column(1))], pa.binary())], ["doc_id", "media"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, media binary")
+    return docs.select("doc_id", "text").mapInArrow(thrifty(run), "doc_id long, media binary")
 
 
 def describe(media: DataFrame) -> DataFrame:
@@ -207,4 +207,4 @@ def describe(media: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, k) for v, k in zip(rows, kinds, strict=True))], ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
 
-    return media.select("doc_id", "media").mapInArrow(run, SCHEMA)
+    return media.select("doc_id", "media").mapInArrow(thrifty(run), SCHEMA)

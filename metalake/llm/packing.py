@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, partitions
+from .common import U64, partitions, thrifty
 
 WINDOW, SEPARATOR = 1024, 0
 BLOCK = 3 << 20
@@ -210,4 +210,4 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
         if held:
             yield flush(ids, held)[0]
 
-    return dealt.mapInArrow(run, SCHEMA)
+    return dealt.mapInArrow(thrifty(run), SCHEMA)

@@ -22,14 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, chunks, materialize, release, utf8, word_hashes
+from .common import U64, chunks, materialize, release, thrifty, utf8, word_hashes
 
 BITS = 18
 SAMPLE = 8_000
 LOST = (0.003, 0.005)
 STEPS, RATE, RIDGE = 200, 0.1, 1e-4
 LEAST_DOCS, SURE = 8, 6.0
-AT_ONCE = 4 << 20
+AT_ONCE = 1 << 20
 
 _BREAKS = np.ones(256, dtype=bool)
 _BREAKS[65:91] = _BREAKS[97:123] = _BREAKS[128:] = False
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], b.column(2)[i:j], pa.array(words, pa.binary()), pa.array([x.tobytes() for x in m], pa.binary())], ["doc_id", "grade", "slots", "measures"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")  # about SAMPLE rows at most
-    sample = materialize(rows.mapInArrow(run, "doc_id long, grade int, slots binary, measures binary"), "quality-sample")
+    sample = materialize(rows.mapInArrow(thrifty(run), "doc_id long, grade int, slots binary, measures binary"), "quality-sample")
     taken = sorted((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in sample.toLocalIterator())
     release(sample)
     if not taken:
@@ -213,4 +213,4 @@ def grade(docs: DataFrame, model: Model | None) -> DataFrame:
 
     from pyspark.sql import types as T
 
-    return own.mapInArrow(run, T.StructType([*own.schema.fields, *T._parse_datatype_string(SCHEMA).fields]))
+    return own.mapInArrow(thrifty(run), T.StructType([*own.schema.fields, *T._parse_datatype_string(SCHEMA).fields]))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64, multipliers, pack, partitions, release, unpack, utf8
+from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64, multipliers, pack, partitions, release, thrifty, unpack, utf8
 
 DEPTH, GRAM = 100, 24
 AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
@@ -216,7 +216,7 @@ def deal(docs: DataFrame, shards: int) -> DataFrame:
         if held:
             yield from flush(held)
 
-    return docs.mapInArrow(run, STEP)
+    return docs.mapInArrow(thrifty(run), STEP)
 
 
 def _by_shard(steps: DataFrame) -> DataFrame:
@@ -267,7 +267,7 @@ def compare(dealt: DataFrame) -> DataFrame:
         hot = np.repeat(hot, size)[left]
         yield _batch(DIFFER, int(left.sum()), doc=doc[left], gram=gram[left].view(np.int64), first=first[left], info=info[left].astype(np.int32) | (hot.astype(np.int32) << 14), shard=np.full(int(left.sum()), shard, np.int32))
 
-    return _by_shard(dealt).mapInArrow(lambda batches: _grouped(batches, finish), STEP)
+    return _by_shard(dealt).mapInArrow(thrifty(lambda batches: _grouped(batches, finish)), STEP)
 
 
 def with_texts(docs: DataFrame, differ: DataFrame, shards: int) -> DataFrame:
@@ -318,7 +318,7 @@ def with_texts(docs: DataFrame, differ: DataFrame, shards: int) -> DataFrame:
                     cols, parts, windows, size = new()
         yield from flush(cols, parts, windows)
 
-    return docs.join(mine, docs.doc_id == mine.doc).select("doc_id", "text", "first", "gram", "info").mapInArrow(run, STEP)
+    return docs.join(mine, docs.doc_id == mine.doc).select("doc_id", "text", "first", "gram", "info").mapInArrow(thrifty(run), STEP)
 
 
 class SuffixLevels:
@@ -384,7 +384,7 @@ def settle(steps: DataFrame) -> DataFrame:
             start = first[i:j][run] + at - begin[i:j][run]
             yield from _spans(doc[i:j][run], start, start + DEPTH)
 
-    return _by_shard(steps).mapInArrow(lambda batches: _grouped(batches, finish), STEP)
+    return _by_shard(steps).mapInArrow(thrifty(lambda batches: _grouped(batches, finish)), STEP)
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -438,7 +438,7 @@ def digest(docs: DataFrame) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 4 else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in schema.split(", ")])
 
-    return _joined(docs.select("doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_spans").mapInArrow(run, schema)
+    return _joined(docs.select("doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_spans").mapInArrow(thrifty(run), schema)
 
 
 def _joined(docs: DataFrame) -> DataFrame:
@@ -459,5 +459,5 @@ def strip(docs: DataFrame) -> DataFrame:
             columns = [*b.columns[:at], new, *b.columns[at + 1 : -1]]
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
 
-    out = _joined(own).select(*own.columns, "_spans").mapInArrow(run, own.schema).where(F.length(F.regexp_replace("text", r"\s+", "")) > 0)
+    out = _joined(own).select(*own.columns, "_spans").mapInArrow(thrifty(run), own.schema).where(F.length(F.regexp_replace("text", r"\s+", "")) > 0)
     return out.withColumn("n_chars", F.length("text").cast(own.schema["n_chars"].dataType)) if "n_chars" in own.columns else out

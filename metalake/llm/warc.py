@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import attach_minimum, fresh_path, open_fs, partitions
+from .common import attach_minimum, fresh_path, open_fs, partitions, thrifty
 
 NO_PAGE = (1 << 63) - 1  # stands for a null page_id in keys
 LEAST = 100  # shorter payloads are never revisits
@@ -272,7 +272,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             yield pa.RecordBatch.from_pydict({"path": [p for p, _ in made], "records": pa.array([n for _, n in made], pa.int64())})
 
     manifest = f"{folder}-manifest"
-    marked.mapInArrow(run, "path string, records long").write.parquet(manifest)
+    marked.mapInArrow(thrifty(run), "path string, records long").write.parquet(manifest)
     return spark.read.schema("path string, records long").parquet(manifest)
 
 
@@ -291,7 +291,7 @@ def locate(manifest: DataFrame) -> DataFrame:
                     ["path", "page_id", "offset", "length"],
                 )
 
-    return manifest.select("path").mapInArrow(run, "path string, page_id long, offset long, length long")
+    return manifest.select("path").mapInArrow(thrifty(run), "path string, page_id long, offset long, length long")
 
 
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
@@ -331,7 +331,7 @@ def fetch(located: DataFrame, payloads: bool = True) -> DataFrame:
             if f is not None:
                 f.close()
 
-    return located.mapInArrow(run, RECORD)
+    return located.mapInArrow(thrifty(run), RECORD)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, payloads: bool = False) -> DataFrame:
