@@ -62,7 +62,7 @@ def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
     def kept_small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         libc = ctypes.CDLL(None)
         if hasattr(libc, "mallopt"):
-            libc.mallopt(M_MMAP_THRESHOLD, 2 << 20)
+            libc.mallopt(M_MMAP_THRESHOLD, 8 << 20)
         try:
             yield from run(batches)
         finally:
