@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
-M_MMAP_THRESHOLD = -3  # of mallopt
+M_MMAP_THRESHOLD, M_TRIM_THRESHOLD = -3, -1  # of mallopt
 
 
 # ---------------------------------------------------------------- storage
@@ -63,6 +63,7 @@ def thrifty(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]])
         libc = ctypes.CDLL(None)
         if hasattr(libc, "mallopt"):
             libc.mallopt(M_MMAP_THRESHOLD, 8 << 20)
+            libc.mallopt(M_TRIM_THRESHOLD, 64 << 20)  # else the heap's top goes and comes with each array
         try:
             yield from run(batches)
         finally:
