@@ -1,14 +1,16 @@
-"""Lexical retrieval packing: documents are dealt to shards, each with a BM25 inverted index; every window is seeded by
-a document and filled up with its nearest documents that aren't used yet.
+"""Lexical retrieval packing: every window is seeded by a document and filled up with its nearest documents by BM25 that
+aren't used yet, of all the corpus.
 
-A document is its token ids and the separator id. A window takes its seed's ids, then those of the seed's best unused neighbours by BM25,
-and, where there are none, of the next unused document. The document that reaches the window's end is cut there and seeds
-the next window, so windows are full. What is left when a shard's documents run out is cut into sequences whose
-lengths are powers of two, which need no padding.
+A document is its token ids and the separator id. A window takes its seed's ids, then those of the seed's best unused neighbours,
+and, where no unused document shares a search term, of the next unused document. The document that reaches the window's end is cut there
+and seeds the next window. What is in open windows when the documents run out is cut into sequences whose lengths are powers of two,
+which need no padding.
 
-A shard is a partition of the documents by a hash of id and text; it is indexed in blocks of about `BLOCK` ids, which bounds
-a task's memory. Sequence ids are the partition's number times 2^32 and a count, so they are unique and, the rows of a
-partition being sorted, the same in every run.
+The statistics are the whole corpus'. Documents are indexed in blocks, and every seed asks every block, so a round of search costs documents times
+documents. Rounds give each seed its k best unused documents; the driver fills windows from these lists in the order of a
+hash of id and text. A window whose list is used up waits for the next round, which searches what is still unused. A round
+ends when what waits could take 1/PATIENCE of the rest. The last `AT_ONCE` documents are looked up by the driver, one seed after the other.
+Blocks and partitions don't change the result. The driver holds a length and a list of NEIGHBOURS numbers for each document.
 
 Null texts are empty and hold the separator alone. Repeated rows are packed as often as they occur; rows with a null id
 too. Further columns are ignored; an empty table gives an empty result.
@@ -27,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, partitions, thrifty
+from .common import fresh_path, materialize, open_fs, partitions, thrifty
 
 WINDOW, SEPARATOR = 1024, 0
-BLOCK = 3 << 20
+BLOCK, AT_ONCE = 200_000, 4096  # documents that are indexed at once, and left to the driver
 TERMS, NEIGHBOURS = 8, 16
 K1, B = 1.2, 0.75
+PATIENCE = 32  # a round ends when the windows that wait lack this share of the ids left
 CACHE, KEPT = 600_000, 48  # pieces that a worker remembers, and their longest
 COMMON = 2000  # ids below are the vocabulary's most frequent pieces, and no search terms
 
@@ -96,118 +99,368 @@ def tokens(path: str) -> Tokens:
 
 
 # ---------------------------------------------------------------- BM25
+class Stats:
+    """The whole corpus' number of documents, mean length and document frequency of each term."""
+
+    def __init__(self, n: int, mean: float, df: np.ndarray):
+        self.n, self.mean, self.df = n, max(1.0, mean), df
+        self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """BM25 weights of a document's distinct terms."""
+        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * int(tf.sum()) / self.mean))
+
+    def query(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
+        """The TERMS weightiest terms that a second document holds, ascending."""
+        held = self.df[terms] > 1
+        terms, w = terms[held], self.weights(terms, tf)[held]
+        return np.sort(terms[np.lexsort((terms, -w))[:TERMS]])
+
+
+def count_terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct search terms of a document and how often each occurs; the COMMON first ids are stop words."""
+    terms, tf = np.unique(ids[ids >= COMMON], return_counts=True)
+    return terms.astype("<u4"), tf.astype("<u4")
+
+
 class Index:
-    """A BM25 inverted index over documents given as arrays of ids; the COMMON first ids are stop words."""
-
-    def __init__(self, docs: list[np.ndarray]):
-        self.n = n = len(docs)
-        docs = [d[d >= COMMON] for d in docs]
-        sizes = np.array([len(d) for d in docs], dtype=np.int64)
-        owner = np.repeat(np.arange(n, dtype=U64), sizes)
-        keys, tf = np.unique((owner << U64(32)) | np.concatenate([*docs, np.empty(0, np.uint32)]).astype(U64), return_counts=True)
-        term, doc = (keys & U64(0xFFFFFFFF)).astype(np.int64), (keys >> U64(32)).astype(np.int64)
-        df = np.bincount(term)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * sizes[doc] / max(1.0, sizes.mean())))
-        self.row = np.searchsorted(doc, np.arange(n + 1))
-        self.row_terms, self.row_weights = term, weight
+    """A BM25 inverted index over a block of documents, given as corpus-wide numbers, distinct terms and their counts."""
+
+    def __init__(self, stats: Stats, numbers: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]):
+        self.n, self.numbers = stats.n, numbers
+        sizes = np.fromiter((len(t) for t, _ in docs), np.int64, len(docs))
+        term = np.concatenate([np.empty(0, np.uint32), *(t for t, _ in docs)]).astype(np.int64)
+        weight = np.concatenate([np.empty(0, np.float32), *(stats.weights(t, c).astype(np.float32) for t, c in docs)])
         order = np.argsort(term, kind="stable")
-        self.doc, self.weight = doc[order], weight[order].astype(np.float32)
-        self.at = np.zeros(len(df) + 1, np.int64)
-        np.cumsum(df, out=self.at[1:])
-
-    def neighbours(self, doc: int, used: np.ndarray) -> np.ndarray:
-        """The best unused documents for a document's TERMS weightiest terms, best first."""
-        a, b = self.row[doc], self.row[doc + 1]
-        if a == b:
-            return np.empty(0, np.int64)
-        w = self.row_weights[a:b]
-        best = np.argpartition(-w, TERMS)[:TERMS] if b - a > TERMS else np.arange(b - a)
-        spans = [slice(self.at[t], self.at[t + 1]) for t in self.row_terms[a:b][best]]
-        score = np.bincount(np.concatenate([self.doc[s] for s in spans]), weights=np.concatenate([self.weight[s] for s in spans]), minlength=self.n)
-        score[used] = 0
-        top = np.argpartition(-score, NEIGHBOURS)[:NEIGHBOURS] if self.n > NEIGHBOURS else np.arange(self.n)
-        top = top[score[top] > 0]
-        return top[np.lexsort((top, -score[top]))]
-
-
-def pack_block(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[tuple[int, int, int, int, int]]:
-    """(document, start, length, sequence, offset) of each piece; docs: ids with the separator."""
-    index, used = Index(docs), np.zeros(len(docs), dtype=bool)
-    sequence, fill, pieces = 0, 0, []
-    following = 0
-    queue: list[int] = []
-    seed = None
-    for _ in range(len(docs)):
-        if seed is not None and not queue and fill:
-            queue = index.neighbours(seed, used)[::-1].tolist()
-        while queue and used[queue[-1]]:
-            queue.pop()
-        if queue:
-            d = queue.pop()
-        else:
-            while used[following]:
-                following += 1
-            d = following
-        used[d] = True
-        if not fill or seed is None:
-            seed = d
-        start, size = 0, len(docs[d])
+        self.doc, self.weight = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)[order], weight[order]
+        self.at = np.zeros(len(stats.df) + 1, np.int64)
+        np.cumsum(np.bincount(term, minlength=len(stats.df)), out=self.at[1:])
+        self.size = len(docs)
+
+    def best(self, number: int, terms: np.ndarray, k: int, dead: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers and scores of the k best documents but `number` and the dead ones, best first; among equals the next in number, cyclically."""
+        parts = max(1, min(4 * k, self.size))
+        wide = -(-self.size // parts)
+        score = np.zeros(parts * wide, np.float32)
+        for t in terms:
+            s = slice(self.at[t], self.at[t + 1])
+            score[self.doc[s]] += self.weight[s]
+        own = np.searchsorted(self.numbers, number)
+        if own < self.size and self.numbers[own] == number:
+            score[own] = 0
+        if dead is not None:
+            score[: self.size][dead] = 0
+        # the k-th largest of the parts' maxima is no larger than the k-th largest score
+        floor = np.partition(score.reshape(parts, wide).max(1), parts - k)[parts - k] if parts > k else 0
+        top = np.flatnonzero(score >= floor) if floor > 0 else np.flatnonzero(score)
+        ids, s = self.numbers[top], score[top]
+        first = np.lexsort(((ids - number) % self.n, -s))[:k]
+        return ids[first], s[first]
+
+
+# ---------------------------------------------------------------- windows
+class Packer:
+    """Windows in the making. A window asks for its seed's best unused documents; one whose list of k is used up, with
+    more to find, waits for the next round of search."""
+
+    def __init__(self, lengths: np.ndarray, window: int):
+        self.lengths, self.window = lengths, window
+        self.used = np.zeros(len(lengths), dtype=bool)
+        self.left, self.ids_left, self.following = len(lengths), int(lengths.sum()), 0
+        self.pieces = [array("q") for _ in range(5)]  # document, start, length, sequence, offset
+        self.sequences, self.waiting, self.need = 0, [], 0
+
+    def _next(self) -> int:
+        while self.used[self.following]:
+            self.following += 1
+        return self.following
+
+    def _place(self, d: int, sequence: int, fill: int) -> tuple[int, int, bool]:
+        """Where document d ends, and whether it was cut at a window's end."""
+        self.used[d] = True
+        self.left, self.ids_left = self.left - 1, self.ids_left - int(self.lengths[d])
+        start, size, cut = 0, int(self.lengths[d]), False
         while start < size:
-            n = min(size - start, window - fill)
-            pieces.append((d, start, n, sequence, fill))
+            if fill == self.window:
+                sequence, fill, cut = self.sequences, 0, True
+                self.sequences += 1
+            n = min(size - start, self.window - fill)
+            for a, x in zip(self.pieces, (d, start, n, sequence, fill), strict=True):
+                a.append(x)
             start, fill = start + n, fill + n
-            if fill == window:
-                yield from pieces
-                pieces, sequence, fill = [], sequence + 1, 0
-                seed, queue = (d if start < size else None), []
-    # the rest: a sequence for each power of two that its length is the sum of
-    room, fill = 0, 0
-    total = sum(p[2] for p in pieces)
-    for d, start, n, _, _ in pieces:
-        while n:
-            if room == fill:
-                sequence, fill, room = sequence + (room > 0), 0, 1 << (total.bit_length() - 1)
-                total -= room
-            k = min(n, room - fill)
-            yield d, start, k, sequence, fill
-            start, n, fill = start + k, n - k, fill + k
+        return sequence, fill, cut
+
+    def round(self, ask) -> None:
+        """ask(seed) gives the best unused documents of the seed, best first, and whether there may be more."""
+        waiting, self.waiting, self.need = self.waiting, [], 0
+        todo = iter(waiting)
+        while True:
+            if (w := next(todo, None)) is not None:
+                seed, sequence, fill = w
+            elif not self.left or (self.waiting and PATIENCE * self.need > self.ids_left):
+                return
+            else:
+                seed, sequence = self._next(), self.sequences
+                self.sequences += 1
+                sequence, fill, _ = self._place(seed, sequence, 0)
+            queue, more = None, False
+            while fill < self.window:
+                if queue is None:
+                    found, more = ask(seed)
+                    queue = found[::-1]
+                while queue and self.used[queue[-1]]:
+                    queue.pop()
+                if not queue and more or not self.left:
+                    self.waiting.append((seed, sequence, fill))
+                    self.need += self.window - fill
+                    break
+                d = queue.pop() if queue else self._next()
+                sequence, fill, cut = self._place(d, sequence, fill)
+                if cut:
+                    seed, queue = d, None
+
+    def finish(self) -> list[np.ndarray]:
+        """All pieces; those of windows that stayed open are cut into full windows and powers of two that their length is the sum of."""
+        cols = [np.frombuffer(a, np.int64) for a in self.pieces]
+        still = np.isin(cols[3], [s for _, s, _ in self.waiting])
+        out = [array("q") for _ in range(5)]
+        total, room, fill, sequence = int(cols[2][still].sum()), 0, 0, self.sequences - 1
+        for d, start, n in zip(*(c[still].tolist() for c in cols[:3]), strict=True):
+            while n:
+                if room == fill:
+                    sequence, fill, room = sequence + 1, 0, min(self.window, 1 << (total.bit_length() - 1))
+                    total -= room
+                k = min(n, room - fill)
+                for a, x in zip(out, (d, start, k, sequence, fill), strict=True):
+                    a.append(x)
+                start, n, fill = start + k, n - k, fill + k
+        return [np.concatenate((c[~still], np.frombuffer(o, np.int64))) for c, o in zip(cols, out, strict=True)]
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
-    """The pieces of docs (doc_id, text) in sequences of at most `window` ids; window is a power of two."""
+def _batch(schema: str, cols: list) -> pa.RecordBatch:
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)], [n for n, _ in fields])
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for b in batches:
+        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+
+
+def _tokenise(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """Ids, terms and counts of each document, rows numbered within parts that are in the order of a hash of id and text."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    dealt = rows.repartition(partitions(docs.sparkSession), F.xxhash64("doc_id", "text")).sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("doc_id", "text"))
+    dealt = rows.repartitionByRange(partitions(docs.sparkSession), "h", "doc_id", "text").sortWithinPartitions("h", "doc_id", "text").select("doc_id", "text")
+    schema = "part int, row int, doc_id long, ids binary, terms binary, tf binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        base = TaskContext.get().partitionId() << 32
+        part, row = TaskContext.get().partitionId(), 0
         encode = tokens(tokenizer).ids
         end = np.array([SEPARATOR], dtype="<u4")
+        for b in batches:
+            out = []
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                d = np.concatenate((encode(t), end)).astype("<u4")
+                terms, tf = count_terms(d)
+                out.append((part, row, i, d.tobytes(), terms.tobytes(), tf.tobytes()))
+                row += 1
+            if out:
+                yield _batch(schema, list(zip(*out, strict=True)))
+
+    return materialize(dealt.mapInArrow(thrifty(run), schema), "packing-ids")
+
+
+def _statistics(held: DataFrame, n: int) -> Stats:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df, total = np.zeros(1, np.int64), 0
+        for terms, tf in _each(batches):
+            t = np.frombuffer(terms, "<u4")
+            if len(t) and t[-1] >= len(df):
+                df = np.concatenate((df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)))
+            df[t] += 1
+            total += int(np.frombuffer(tf, "<u4").sum())
+        found = np.flatnonzero(df)
+        yield _batch("term long, n long", [np.append(found, -1), np.append(df[found], total)])
 
-        def flush(ids: list, docs: list) -> tuple[pa.RecordBatch, int]:
-            out = [(ids[d], s, n, zlib.crc32(docs[d][s : s + n].tobytes()), len(docs[d]), base + q, o) for d, s, n, q, o in pack_block(docs, window)]
-            cols = list(zip(*out, strict=True))
-            names = [x.split()[0] for x in SCHEMA.split(", ")]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names), out[-1][5] - base + 1
+    got = dict(map(tuple, held.select("terms", "tf").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect()))
+    total = got.pop(-1, 0)
+    df = np.zeros(max(got, default=0) + 1, np.int64)
+    df[list(got)] = list(got.values())
+    return Stats(n, total / max(1, n), df)
 
-        ids, held, size = [], [], 0
+
+def _files(path: str) -> list[str]:
+    from pyarrow import fs
+
+    system, root = open_fs(path)
+    return sorted(f.path for f in system.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet"))
+
+
+def _read(path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    import pyarrow.parquet as pq
+
+    system, _ = open_fs(path)
+    for f in _files(path):
+        with system.open_input_file(f) as source:
+            yield from pq.ParquetFile(source).iter_batches(columns=columns)
+
+
+def _search(held: DataFrame, base: np.ndarray, stats: Stats, used: np.ndarray, asking: np.ndarray, k: int) -> str:
+    """Folder of (number, found): the k best unused documents of all the corpus for each asking one."""
+    spark = held.sparkSession
+    state = spark.sparkContext.broadcast((base, stats, np.packbits(used), np.packbits(asking)))
+    queries = fresh_path(spark, "packing-queries")
+
+    def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, stats, _, asking = state.value
+        asking = np.unpackbits(asking)
         for b in batches:
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                d = np.concatenate((encode(t), end))
-                ids.append(i)
-                held.append(d)
-                size += len(d)
-                if size >= BLOCK:
-                    out, n = flush(ids, held)
-                    yield out
-                    base, ids, held, size = base + n, [], [], 0
-        if held:
-            yield flush(ids, held)[0]
-
-    return dealt.mapInArrow(thrifty(run), SCHEMA)
+            out = []
+            for part, row, terms, tf in _each([b]):
+                if asking[base[part] + row]:
+                    out.append((int(base[part] + row), stats.query(np.frombuffer(terms, "<u4"), np.frombuffer(tf, "<u4")).tobytes()))
+            if out:
+                yield _batch("number long, terms binary", list(zip(*out, strict=True)))
+
+    rows = held.select("part", "row", "terms", "tf")
+    rows.mapInArrow(query, "number long, terms binary").write.parquet(queries)
+    schema = "number long, found binary, scores binary"
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base, stats, used, _ = state.value
+        used = np.unpackbits(used)
+
+        def block(docs: dict) -> Iterator[pa.RecordBatch]:
+            numbers = np.array(sorted(docs), np.int64)
+            index = Index(stats, numbers, [docs.pop(int(i)) for i in numbers])
+            for b in _read(queries, ["number", "terms"]):
+                out = []
+                for number, terms in _each([b]):
+                    found, scores = index.best(number, np.frombuffer(terms, "<u4"), k)
+                    if len(found):
+                        out.append((number, found.astype("<i4").tobytes(), scores.astype("<f4").tobytes()))
+                if out:
+                    yield _batch(schema, list(zip(*out, strict=True)))
+
+        docs = {}
+        for part, row, terms, tf in _each(batches):
+            number = int(base[part] + row)
+            if not used[number]:
+                docs[number] = np.frombuffer(terms, "<u4"), np.frombuffer(tf, "<u4")
+                if len(docs) >= BLOCK:
+                    yield from block(docs)
+                    docs = {}
+        if docs:
+            yield from block(docs)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(used)
+        for b in batches:
+            out = []
+            for number, found, scores in _each([b]):
+                f, s = np.frombuffer(b"".join(found), "<i4").astype(np.int64), np.frombuffer(b"".join(scores), "<f4")
+                out.append((number, f[np.lexsort(((f - number) % n, -s))[:k]].astype("<i4").tobytes()))
+            if out:
+                yield _batch("number long, found binary", list(zip(*out, strict=True)))
+
+    blocks = max(spark.sparkContext.defaultParallelism, -(-int((~used).sum()) // BLOCK))
+    both = rows.coalesce(blocks).mapInArrow(thrifty(look), schema).groupBy("number").agg(F.collect_list("found").alias("found"), F.collect_list("scores").alias("scores"))
+    path = fresh_path(spark, "packing-found")
+    both.mapInArrow(merge, "number long, found binary").write.parquet(path)
+    return path
+
+
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, at_once: int = AT_ONCE) -> DataFrame:
+    """The pieces of docs (doc_id, text) in sequences of at most `window` ids; window is a power of two.
+
+    at_once: documents that may be left for the driver to look up by itself.
+    """
+    spark = docs.sparkSession
+    held = _tokenise(docs, tokenizer)
+    sizes = held.select("part", "row", (F.length("ids") / 4).cast("int").alias("n")).toArrow()
+    part, row, length = (sizes.column(i).to_numpy() for i in range(3))
+    counts = np.bincount(part) if len(part) else np.zeros(0, np.int64)
+    base = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
+    lengths = np.empty(len(part), np.int32)
+    lengths[base[part] + row] = length
+    stats = _statistics(held, len(lengths))
+    packer, k = Packer(lengths, window), NEIGHBOURS
+    while packer.left:
+        asking = ~packer.used
+        asking[[w[0] for w in packer.waiting]] = True
+        if asking.sum() <= at_once:
+            mine = spark.sparkContext.broadcast((base, np.packbits(asking)))
+
+            def wanted(batches: Iterator[pa.RecordBatch], mine=mine) -> Iterator[pa.RecordBatch]:
+                base, mask = mine.value
+                mask = np.unpackbits(mask).astype(bool)
+                for b in batches:
+                    number = base[b.column(0).to_numpy()] + b.column(1).to_numpy()
+                    keep = pa.array(mask[number])
+                    yield pa.RecordBatch.from_arrays([pa.array(number), b.column(2), b.column(3)], ["number", "terms", "tf"]).filter(keep)
+
+            got = held.select("part", "row", "terms", "tf").mapInArrow(wanted, "number long, terms binary, tf binary").toArrow()
+            terms = {i: (np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4")) for i, t, c in _each(got.to_batches())}
+            numbers = np.array(sorted(terms), np.int64)
+            index = Index(stats, numbers, [terms[int(i)] for i in numbers])
+
+            def ask(seed: int):
+                found, _ = index.best(seed, stats.query(*terms[seed]), NEIGHBOURS, packer.used[numbers])
+                return found.tolist(), len(found) == NEIGHBOURS
+
+        else:
+            path = _search(held, base, stats, packer.used, asking, k)
+            place, lists = np.full(len(lengths), -1, np.int64), []
+            for b in _read(path, ["number", "found"]):
+                place[b.column(0).to_numpy()] = np.arange(len(lists), len(lists) + len(b))
+                lists += b.column(1).to_pylist()
+
+            def ask(seed: int, place=place, lists=lists, k=k):
+                found = np.frombuffer(lists[place[seed]], "<i4").tolist() if place[seed] >= 0 else []
+                return found, len(found) == k
+
+            k *= 2
+        packer.round(ask)
+    return _cut(held, base, packer.finish())
+
+
+def _cut(held: DataFrame, base: np.ndarray, pieces: list[np.ndarray]) -> DataFrame:
+    """The rows of SCHEMA; each part's pieces are written to a file that the part's readers look up."""
+    import pyarrow.parquet as pq
+
+    path = fresh_path(held.sparkSession, "packing-pieces")
+    system, root = open_fs(path)
+    system.create_dir(root)
+    order = np.lexsort((pieces[1], pieces[0]))
+    pieces = [c[order] for c in pieces]
+    ends = np.searchsorted(pieces[0], base)
+    for p in range(len(base) - 1):
+        s = slice(ends[p], ends[p + 1])
+        table = pa.table([pieces[0][s] - base[p], *(c[s] for c in pieces[1:])], names=["row", "start", "length", "sequence", "offset"])
+        with system.open_output_stream(f"{root}/{p}.parquet") as f:
+            pq.write_table(table, f)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
+        system, root = open_fs(path)
+        for b in batches:
+            out = []
+            for part, row, doc_id, ids in _each([b]):
+                if part != own:
+                    with system.open_input_file(f"{root}/{part}.parquet") as f:
+                        at, *cols = (c.to_numpy() for c in pq.read_table(f).columns)
+                    own = part
+                d = np.frombuffer(ids, "<u4")
+                s = slice(*np.searchsorted(at, [row, row + 1]))
+                out += [(doc_id, x, n, zlib.crc32(d[x : x + n].tobytes()), len(d), q, o) for x, n, q, o in zip(*(c[s].tolist() for c in cols), strict=True)]
+            if out:
+                yield _batch(SCHEMA, list(zip(*out, strict=True)))
+
+    return held.select("part", "row", "doc_id", "ids").mapInArrow(thrifty(run), SCHEMA)

@@ -212,6 +212,39 @@ def test_packing(docs, empty):
     assert packing.pack(empty, path).count() == 0
 
 
+def test_packing_finds_neighbours_of_all_the_corpus(spark):
+    """Twins share rare words with each other alone; whatever the partitions, they meet, and both ways to search agree."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own, r = packing.Tokens(path), random.Random(5)
+    words = sorted({"".join(r.choice("bcdfgklmnprstv") + r.choice("aeiou") for _ in range(4)) for _ in range(900)})
+    rows = [(i, " ".join(r.choice(words[5 * (i // 2) : 5 * (i // 2) + 5]) for _ in range(60))) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    counted = [packing.count_terms(np.append(own.ids(t), 0)) for _, t in rows]
+    stats = packing.Stats(300, float(np.mean([c.sum() for _, c in counted])), np.bincount(np.concatenate([t for t, _ in counted]), minlength=50257))
+    index = packing.Index(stats, np.arange(300), counted)
+    for d in range(0, 300, 17):  # by brute force
+        q = set(stats.query(*counted[d]).tolist())
+        score = [sum(w for t, w in zip(ts.tolist(), stats.weights(ts, c), strict=True) if t in q) if i != d else 0 for i, (ts, c) in enumerate(counted)]
+        got, s = index.best(d, np.array(sorted(q)), 16)
+        assert np.allclose(s, sorted((x for x in score if x), reverse=True)[:16], rtol=1e-4) and np.allclose(s, [score[i] for i in got], rtol=1e-4)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    seen = []
+    try:
+        for parts, at_once in ((2, 4096), (7, 4096), (7, 0), (3, 0)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            seen.append(sorted(map(tuple, packing.pack(frame, path, at_once=at_once).collect())))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert seen[0] == seen[1] and seen[2] == seen[3]
+    for rows_ in seen:
+        where = defaultdict(set)
+        for p in rows_:
+            where[p[0]].add(p[5])
+        assert sum(bool(where[i] & where[i + 1]) for i in range(0, 300, 2)) >= 100  # hash dealing over 7 parts: about 21
+
+
 def test_chat(spark):
     e = spark.createDataFrame([
         (1, 0, "message", "user", "hi :\\ ### </turn>", None), (1, 1, "message", "assistant", "", None), (1, 2, "delta", None, "a", None), (1, 3, "delta", None, "b", None), (1, 4, "regenerate", None, None, None),
