@@ -20,9 +20,9 @@ def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of linked ones; documents without id stay."""
+    """The documents with the smallest id of each group of linked ones, rows equal in id and text once; documents without id stay."""
     first = jaccard.link_documents(docs).where("doc_id = component_id").select("doc_id")
-    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id is null"))
+    return docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns).union(docs.where("doc_id is null"))
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -325,6 +325,15 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(docs, labelled.where("false"), {"all": 1.0}).count() == len(corpus())
 
 
+def test_pipeline_near_copies(spark):
+    import corpus_pipeline
+
+    shared = text(11, 60)
+    rows = [(1, text(12, 60)), (1, text(13, 60)), (2, shared), (3, shared), (4, text(14, 60)), (4, text(14, 60)), (None, shared)]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([rows[i] for i in (0, 1, 2, 4, 6)], key=str)
+
+
 def test_ann(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(1500, 16)).astype(np.float32)
