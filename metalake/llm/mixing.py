@@ -6,12 +6,11 @@ words and p_id its posterior, sum_i r_i n_i p_id is to be each domain's target.
 (n, p), whose few sums go to the driver; there they are scaled by the inverse of the domains' overlap matrix, and every
 document's rate moves by them along its own posterior and is cut at the least rate (0 unless given).
 
-The classifier is fitted on a bounded sample of about `SAMPLE` labelled documents, in full, and knows the `DOMAINS` most frequent
-domains; its tables have 2^`BITS` entries a domain. Posteriors are softened: the mean log likelihood of a word times `SHARP`.
+The classifier is fitted on a bounded sample of about `SAMPLE` labelled documents, in full, and knows every labelled domain; its tables have 2^`BITS` entries a domain. Posteriors are softened: the mean log likelihood of a word times `SHARP`.
 
 Null and empty texts have no words: their posterior is the prior, their rate weighs nothing, and copies is the rate's as of
 any other. Labels that are null are left out; without labels there is one domain, `all`. A domain without a target
-has target 0, a target without a domain is ignored. Repeated rows each get the same rate. Further columns are kept, but for those named like the
+has target 0, a target over 0 without a domain is an error. Repeated rows each get the same rate. Further columns are kept, but for those named like the
 new ones, which are replaced. An empty table gives an empty result.
 """
 
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-BITS, SAMPLE, DOMAINS = 12, 6000, 32
+BITS, SAMPLE = 12, 6000
 SHARP, SMOOTH = 12.0, 0.5
 STEPS, CLOSE = 12, 1e-4
 NEW = ("posterior", "words", "rate", "copies")
@@ -41,7 +40,7 @@ def _words(docs: DataFrame, *keep: str) -> DataFrame:
 def classifier(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[float], list[list[float]]]:
     """Domains, log priors and, for each domain, log likelihoods by slot, from labelled (doc_id, domain) of docs (doc_id, text)."""
     rows = labelled.where("doc_id is not null and domain is not null").select("doc_id", F.col("domain").cast("string").alias("domain"))
-    count = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(DOMAINS).collect()}
+    count = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     if not count:
         return ["all"], [0.0], [[0.0] * (1 << BITS)]
     total, domains = sum(count.values()), sorted(count)
@@ -127,6 +126,8 @@ def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | str,
     mixture, as a multiple of the documents'; None: 1, or, where the least rate is 1 or more, what the scarcest domain needs.
     """
     model = classifier(docs, labelled)
+    if isinstance(weights, dict) and (unknown := sorted(x for x, w in weights.items() if w > 0 and x not in model[0])):
+        raise ValueError(f"no labelled document of these domains: {', '.join(unknown)}")
     scored = materialize(posteriors(docs, model), "mixing")
     d = len(model[0])
     has = scored.agg(*[F.sum(F.col("words") * F.col("times") * F.element_at("posterior", k + 1)).alias(f"s{k}") for k in range(d)]).first()

@@ -325,6 +325,18 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(docs, labelled.where("false"), {"all": 1.0}).count() == len(corpus())
 
 
+def test_mixing_knows_every_domain(spark):
+    rows = [(i, " ".join(f"d{i % 40}w{k}" for k in range(20)), f"d{i % 40:02}") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = df.select("doc_id", F.col("lang").alias("domain"))
+    assert mixing.classifier(df, labelled)[0] == [f"d{i:02}" for i in range(40)]
+    got = mixing.mix(df, labelled, {"d39": 1.0, "d00": 1.0}).collect()
+    total = sum(x["words"] for x in got)
+    assert all(abs(sum(x["words"] * x["rate"] * x["posterior"][k] for x in got) / total - want) < 0.01 for k, want in ((0, 0.5), (39, 0.5), (20, 0.0)))
+    with pytest.raises(ValueError):
+        mixing.mix(df, labelled, {"none such": 1.0})
+
+
 def test_pipeline_near_copies(spark):
     import corpus_pipeline
 
