@@ -1,15 +1,18 @@
 """Language identification by cross-parsing entropy.
 
-For each language a suffix automaton of labelled text is built. A text is parsed against it into phrases, each the
-longest match in the labelled text; the language whose parse is the shortest, in bits a character
-(phrases x log2 of the labelled text's length / characters), wins.
+For each language a suffix automaton of labelled text is built. A text is parsed against it from left to right into phrases, each the
+longest match in the labelled text from where the phrase begins; a letter that the labelled text lacks is a phrase of its own. The language whose
+parse is the shortest in bits a character wins: phrases x (log2 of the labelled text's length + `EACH`) / characters. `EACH` is what a
+phrase's length costs; without it, short labelled texts, whose phrases cost few bits and hold few letters, would win every text.
 
-Texts are lower-cased, letters kept, every run of other characters made one blank. Letters unknown to a language's
-text are phrases of their own. All of every text is parsed, in segments of `SEGMENT` characters at whose ends a phrase
-ends too, so that many segments step through an automaton at once.
+Texts are lower-cased, letters kept, every run of other characters made one blank. The alphabet has every letter of the labelled texts.
+The whole of every text is parsed. It is cut into segments so that many walk through an automaton at once; a walk that
+comes from an earlier segment then replaces the beginning of the next one's, up to where both begin a phrase at one place, so phrases are
+those of one walk through the whole text.
 
-The labelled text is a bounded sample: about `TRAIN_DOCS` documents a language, of each at most `TRAIN_EACH` characters,
-`TRAIN_CHARS` a language after normalising, and the `MOST_LANGUAGES` most frequent languages.
+The labelled text is a bounded sample of rows: about `TRAIN_DOCS` documents a language, drawn by a hash of their ids, and of each a
+passage of `PASSAGE` characters (more where a language has few documents) that begins anywhere in the text. Every language that occurs
+is learned. A language takes about 4 MB in each Python worker.
 
 Null texts and texts without letters get `und` and score 0. Ties go to the language that sorts first. Without any
 labelled text all are `und`. Repeated rows, null ids (never labelled text unless they are) and further columns change
@@ -23,15 +26,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, thrifty
 
-TRAIN_DOCS, TRAIN_EACH, TRAIN_CHARS, MOST_LANGUAGES = 300, 4000, 50_000, 64
-SEGMENT, AT_ONCE = 512, 2 << 20
-LETTERS = 60  # letters of an alphabet; the rest count as unknown
+TRAIN_DOCS, PASSAGE = 64, 1000
+EACH = 4.0
+SEGMENT, AT_ONCE = 512, 4 << 20
+FEW = 64  # walks from which on they go side by side
 UNKNOWN, BLANK = 0, 1
+ROOT = 0
 _letters: np.ndarray | None = None
 
 
@@ -43,9 +48,9 @@ def _is_letter() -> np.ndarray:
 
 
 def code_table(alphabet: str) -> np.ndarray:
-    table = np.where(_is_letter(), np.uint8(UNKNOWN), np.uint8(BLANK))
-    for i, ch in enumerate(alphabet):
-        table[ord(ch)] = i + 2
+    """The code of each character: UNKNOWN letters, BLANK for what is no letter, from 2 on the alphabet's."""
+    table = np.where(_is_letter(), np.int32(UNKNOWN), np.int32(BLANK))
+    table[[ord(ch) for ch in alphabet]] = np.arange(2, len(alphabet) + 2)
     return table
 
 
@@ -66,12 +71,10 @@ def encode(texts: list[str | None], table: np.ndarray) -> tuple[np.ndarray, np.n
     return codes[keep], kept[starts]
 
 
-def automaton(codes: list[int], width: int) -> np.ndarray:
-    """The suffix automaton of codes as a parsing table: entry [state * width + code] is the next state * width, and in
-    the top two bits how many phrases end there (a match that can't go on; a code that doesn't occur)."""
-    most = 2 * len(codes) + 2
-    nxt = np.full((most, width), -1, dtype=np.int32)
-    rows = [dict() for _ in range(1)]
+# ---------------------------------------------------------------- automata
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """The transitions of each state of the codes' suffix automaton; state 0 is the root."""
+    rows: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
         cur = len(length)
@@ -96,89 +99,163 @@ def automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    for s, row in enumerate(rows):
-        for c, t in row.items():
-            nxt[s, c] = t
-    nxt = nxt[: len(rows)]
-    root = nxt[0]
-    missing = nxt < 0
-    to = np.where(missing, np.where(root < 0, 0, root)[None, :], nxt).astype(np.uint32) * np.uint32(width)
-    ends = missing.astype(np.uint32) + (missing & (root < 0)[None, :]).astype(np.uint32)
-    ends[0] = root < 0
-    return (to | (ends << np.uint32(30))).ravel()
-
-
-def phrases(codes: np.ndarray, starts: np.ndarray, tables: list[np.ndarray], width: int) -> np.ndarray:
-    """Phrases of each text (rows) in each table's parse (columns)."""
-    n = np.diff(starts)
-    segs = -(-n // SEGMENT)
-    owner = np.repeat(np.arange(len(n)), segs)
-    first = np.zeros(len(n) + 1, np.int64)
-    np.cumsum(segs, out=first[1:])
-    begin = starts[owner] + (np.arange(len(owner)) - first[owner]) * SEGMENT
-    size = np.minimum(SEGMENT, starts[owner + 1] - begin)
-    order = np.argsort(-size, kind="stable")
-    owner, begin, size = owner[order], begin[order], size[order]
-    active = np.searchsorted(-size, -np.arange(SEGMENT), side="left")  # segments longer than t
-    padded = np.concatenate((codes, np.zeros(SEGMENT, codes.dtype)))
-    out = np.zeros((len(n), len(tables)))
-    if not len(owner):
-        return out
-    steps = [padded[begin[: active[t]] + t].astype(np.uint32) for t in range(int(size[0]))]
-    for j, table in enumerate(tables):
-        state = np.zeros(len(owner), np.uint32)
-        count = np.zeros(len(owner), np.uint32)
-        for t, c in enumerate(steps):
-            k = len(c)
-            v = table[state[:k] + c]
-            count[:k] += v >> np.uint32(30)
-            state[:k] = v & np.uint32(0x3FFFFFFF)
-        out[:, j] = np.bincount(owner, weights=count + (state > 0), minlength=len(n))
-    return out
+    return rows
+
+
+class Automaton:
+    """An automaton whose states' sparse rows share one array: state s goes by code c to target[base[s] + c], if owner[base[s] + c] is s.
+
+    Rows are laid out widest first, each where its codes hit free slots. The root's row, whose codes begin phrases, stands apart.
+    """
+
+    def __init__(self, rows: list[dict[int, int]], width: int):
+        self.first = np.zeros(width, np.int32)  # the state after a phrase's first letter; ROOT: no such letter
+        for c, t in rows[ROOT].items():
+            self.first[c] = t
+        room = 2 * sum(map(len, rows[1:])) + 2 * width
+        self.base = np.zeros(len(rows), np.int32)
+        self.owner, self.target = np.full(room + width, -1, np.int32), np.zeros(room + width, np.int32)
+        used, rng = np.zeros(room, dtype=bool), np.random.default_rng(7)
+        wide = [s for s in range(1, len(rows)) if len(rows[s]) > 1]
+        for s in sorted(wide, key=lambda s: -len(rows[s])):
+            codes, misses = np.fromiter(rows[s], np.int64, len(rows[s])), 0
+            while True:
+                tries = rng.integers(0, len(used) - width, 32)
+                if (fits := ~used[tries[:, None] + codes].any(axis=1)).any():
+                    break
+                if (misses := misses + 1) % 64 == 0:  # crowded
+                    used, self.owner, self.target = np.append(used, np.zeros(room, bool)), np.append(self.owner, np.full(room, -1, np.int32)), np.append(self.target, np.zeros(room, np.int32))
+            at = self.base[s] = tries[fits.argmax()]
+            used[at + codes] = True
+            self.owner[at + codes], self.target[at + codes] = s, list(rows[s].values())
+        single = [s for s in range(1, len(rows)) if len(rows[s]) == 1]
+        free = np.flatnonzero(~used[width:])[: len(single)] + width  # as many as there are edges, at least
+        self.base[single] = free - np.fromiter((c for s in single for c in rows[s]), np.int64, len(single))
+        self.owner[free], self.target[free] = single, [t for s in single for t in rows[s].values()]
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after the codes, and whether a phrase begins with the code, as the state can't go on."""
+        at = self.base[state] + code
+        begins = (self.owner[at] != state) | (state == ROOT)
+        return np.where(begins, self.first[code], self.target[at]), begins
+
+
+def build(codes: list[int], width: int) -> Automaton:
+    return Automaton(suffix_automaton(codes), width)
+
+
+def phrases(codes: np.ndarray, starts: np.ndarray, automaton: Automaton, segment: int = SEGMENT) -> np.ndarray:
+    """The number of phrases of each text."""
+    segs = -(-np.diff(starts) // segment)
+    text = np.repeat(np.arange(len(segs)), segs)
+    if not len(text):
+        return np.zeros(len(segs), np.int64)
+    number = np.arange(len(text)) - np.repeat(np.cumsum(segs) - segs, segs)
+    begin, stop = starts[text] + number * segment, starts[text + 1]
+    end = np.minimum(begin + segment, stop)
+    mark = np.zeros(len(codes) + 1, dtype=bool)  # where the segments' own walks begin phrases
+    own_leave = _walk(codes, automaton, begin, end, stop, mark)
+    upto = np.concatenate(([0], np.cumsum(mark)))
+    count, enter, leave = upto[end] - upto[begin], begin.copy(), own_leave.copy()
+    todo = np.flatnonzero(number > 0)
+    while len(todo := todo[enter[todo] != leave[todo - 1]]):
+        enter[todo] = leave[todo - 1]
+        fresh, met, out = _rewalk(codes, automaton, enter[todo], end[todo], stop[todo], mark)
+        count[todo] = fresh + np.where(met >= 0, upto[end[todo]] - upto[met], 0)
+        leave[todo] = np.where(met >= 0, own_leave[todo], out)
+        todo = todo + 1
+        todo = todo[todo < len(text)]
+        todo = todo[number[todo] > 0]
+    return np.bincount(text, weights=count, minlength=len(segs)).astype(np.int64)
+
+
+def _walk(codes: np.ndarray, automaton: Automaton, begin: np.ndarray, end: np.ndarray, stop: np.ndarray, mark: np.ndarray) -> np.ndarray:
+    """Marks the phrases that walks from begin to end begin; returns where each begins its first phrase beyond (or its text's stop)."""
+    order = np.argsort(begin - end, kind="stable")  # longest first
+    at, size = begin[order], (end - begin)[order]
+    active = np.searchsorted(-size, -np.arange(int(size[0])), side="left")  # segments longer than t
+    state = np.zeros(len(at), np.int32)
+    for t, k in enumerate(active.tolist()):
+        place = at[:k] + t
+        state[:k], begins = automaton.step(state[:k], codes[place])
+        mark[place[begins]] = True
+    leave = end.copy()
+    some = np.flatnonzero(end[order] < stop[order])
+    who, state, place = order[some], state[some], end[order[some]]
+    while len(who):
+        state, begins = automaton.step(state, codes[place])
+        leave[who[begins]] = place[begins]
+        place += 1
+        leave[who[~begins]] = place[~begins]
+        on = ~begins & (place < stop[who])
+        who, state, place = who[on], state[on], place[on]
+    return leave
+
+
+def _rewalk(codes: np.ndarray, automaton: Automaton, enter: np.ndarray, end: np.ndarray, stop: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For walks from enter: the phrases before they meet a marked one in their segment, where they do (-1: nowhere), and where they leave."""
+    fresh, met, out = np.zeros(len(enter), np.int64), np.full(len(enter), -1, np.int64), enter.copy()
+    who = np.flatnonzero(enter < end)
+    state, place = np.zeros(len(who), np.int32), enter[who]
+    while len(who) > FEW:
+        state, begins = automaton.step(state, codes[place])
+        inside = place < end[who]
+        meets = begins & inside & mark[place]
+        met[who[meets]] = place[meets]
+        fresh[who[begins & inside & ~meets]] += 1
+        out[who] = place
+        on = ~meets & ~(begins & ~inside)
+        who, state, place = who[on], state[on], place[on] + 1
+        out[who] = place
+        on = place < stop[who]
+        who, state, place = who[on], state[on], place[on]
+    first, base, owner, target, code, marked = map(memoryview, (automaton.first, automaton.base, automaton.owner, automaton.target, codes, mark))
+    for w, s, p in zip(who.tolist(), state.tolist(), place.tolist(), strict=True):  # one after the other, where arrays don't pay
+        last, final = int(end[w]), int(stop[w])
+        while p < final:
+            at = base[s] + code[p]
+            if s == ROOT or owner[at] != s:
+                if p >= last:
+                    break
+                if marked[p]:
+                    met[w] = p
+                    break
+                fresh[w] += 1
+                s = first[code[p]]
+            else:
+                s = target[at]
+            p += 1
+        out[w] = p
+    return fresh, met, out
 
 
+# ---------------------------------------------------------------- the model
 class Model:
-    """Languages with their labelled text; the automata are built where they are first used."""
-
-    _built: dict = {}
-
-    def __init__(self, texts: dict[str, str]):
-        self.languages = sorted(texts)
-        seen: dict[str, int] = {}
-        for t in texts.values():
-            for ch in t.lower():
-                if ch.isalpha():
-                    seen[ch] = seen.get(ch, 0) + 1
-        self.alphabet = "".join(sorted(sorted(seen), key=lambda ch: -seen[ch])[:LETTERS])
-        self.texts = texts
-        self.key = hash((tuple(texts.items()), self.alphabet))
-
-    def tables(self) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-        if self.key not in Model._built:
-            Model._built.clear()
-            table, made, sizes = code_table(self.alphabet), [], []
-            for name in self.languages:
-                codes = encode([self.texts[name]], table)[0][:TRAIN_CHARS]
-                codes = codes[codes != UNKNOWN]
-                made.append(automaton(codes.tolist(), len(self.alphabet) + 2))
-                sizes.append(max(2, len(codes)))
-            Model._built[self.key] = (table, made, np.log2(np.array(sizes, dtype=float)))
-        return Model._built[self.key]
+    """Languages with their automata, over one alphabet."""
+
+    def __init__(self, alphabet: str = "", languages: list[str] | None = None, automata: list[Automaton] | None = None, sizes: list[int] | None = None):
+        self.alphabet, self.languages, self.automata = alphabet, languages or [], automata or []
+        self.bits = np.log2(np.maximum(2, np.array(sizes or [], dtype=float))) + EACH
+        self._table: np.ndarray | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_table": None}
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = ["und"] * len(texts), [0.0] * len(texts)
         if not self.languages:
             return names, scores
-        table, made, bits = self.tables()
+        if self._table is None:
+            self._table = code_table(self.alphabet)
         for i, j in chunks((len(t or "") for t in texts), AT_ONCE):
-            codes, starts = encode(texts[i:j], table)
+            codes, starts = encode(texts[i:j], self._table)
             if not len(codes):
                 continue
             n = np.diff(starts)
             letters = np.zeros(len(codes) + 1, np.int64)
             np.cumsum(codes != BLANK, out=letters[1:])
             lettered = np.diff(letters[starts]) > 0
-            rate = phrases(codes, starts, made, len(self.alphabet) + 2) * bits / np.maximum(n, 1)[:, None]
+            rate = np.stack([phrases(codes, starts, a) for a in self.automata], axis=1) * self.bits / np.maximum(n, 1)[:, None]
             best = rate.argmin(axis=1)
             low = rate[np.arange(len(n)), best]
             share = 1 / np.exp2(-8 * (rate - low[:, None])).sum(axis=1)
@@ -187,32 +264,60 @@ class Model:
         return names, scores
 
 
+def learn(spark: SparkSession, texts: dict[str, str]) -> Model:
+    """A model of each language's labelled text; a task builds an automaton."""
+    alphabet = "".join(sorted({ch for t in texts.values() for ch in t.lower() if ch.isalpha()}))
+    table = code_table(alphabet)
+    names = [name for name in sorted(texts) if (encode([texts[name]], table)[0] != BLANK).any()]
+    if not names:
+        return Model()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pickle
+
+        for b in batches:
+            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                codes = encode([t], code_table(alphabet))[0].tolist()
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([len(codes)], pa.int64()), pa.array([pickle.dumps(build(codes, len(alphabet) + 2))], pa.binary())], ["i", "n", "automaton"])
+
+    import pickle
+
+    rows = spark.createDataFrame([(i, texts[name]) for i, name in enumerate(names)], "i int, text string").repartition(len(names), "i")
+    made = sorted(rows.mapInArrow(thrifty(run), "i int, n long, automaton binary").collect())
+    return Model(alphabet, names, [pickle.loads(r["automaton"]) for r in made], [r["n"] for r in made])
+
+
 def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.encode(doc_id.cast("string"), "UTF-8")), F.lit(3).cast("long"))
 
 
 def fit(labelled: DataFrame) -> Model:
     """A model from labelled (doc_id, text, lang): a bounded sample that depends on ids and labels alone."""
-    rows = labelled.where("lang is not null and text is not null").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()}
+    rows = labelled.where("lang is not null and text is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.where(F.length("text") > 0)
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not sizes:
-        return Model({})
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    bound = F.create_map(*[F.lit(x) for k, n in sizes.items() for x in (k, min(1 << 30, (TRAIN_DOCS << 30) // n))])
-    taken = rows.where(draw < bound[F.col("lang")]).select("lang", F.substring("text", 1, TRAIN_EACH).alias("text"), draw.alias("draw")).collect()
-    texts: dict[str, str] = {}
-    for r in sorted(taken, key=lambda r: (r["lang"], r["draw"], r["text"])):
-        if len(texts.get(r["lang"], "")) < 2 * TRAIN_CHARS:
-            texts[r["lang"]] = texts.get(r["lang"], "") + r["text"] + " "
-    return Model(texts)
+        return Model()
+    spark = labelled.sparkSession
+    bounds = [(k, min(1 << 30, (TRAIN_DOCS << 30) // n), max(PASSAGE, PASSAGE * TRAIN_DOCS // n)) for k, n in sizes.items()]
+    bound = F.broadcast(spark.createDataFrame(bounds, "lang string, most long, size int"))
+    taken = rows.withColumn("draw", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))).join(bound, "lang").where("draw < most")
+    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.lit(1), F.length("text") - F.col("size") + 1)).cast("int") + 1
+    # a row that comes again and again gives one passage
+    passages = taken.select("lang", "draw", F.col("text").substr(place, F.col("size")).alias("text")).distinct().collect()
+    texts: dict[str, list[str]] = {}
+    for r in sorted(passages, key=lambda r: (r["lang"], r["draw"], r["text"])):
+        texts.setdefault(r["lang"], []).append(r["text"])
+    return learn(spark, {k: " ".join(v) for k, v in texts.items()})
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang_pred, score) of docs (doc_id, text); nothing but the text is looked at."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            names, scores = model.predict(b.column(1).to_pylist())
+            names, scores = held.value.predict(b.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(thrifty(run), "doc_id long, lang_pred string, score double")

@@ -271,18 +271,62 @@ def test_langid(spark, docs, empty):
     assert by[500]["lang_pred"] == by[501]["lang_pred"] == "und" and by[502]["lang_pred"] == "aa" and all(0 <= x["score"] <= 1 for x in got)
     assert by[3]["held_out"] == (zlib.crc32(b"3") % 3 == 1)
     assert langid.held_out(empty).count() == 0
-    t = "abracadabra"
-    table = langid.automaton([ord(c) - 97 + 2 for c in t], 30)
-    for s in ("abra", "cadacad", "xyz", "braabra", "", "dabrac"):
-        n, i = 0, 0
-        while i < len(s):
-            k = i + 1
-            while k < len(s) and s[i : k + 1] in t:
-                k += 1
-            n, i = n + 1, k
-        codes = np.array([ord(c) - 97 + 2 for c in s], np.uint8)
-        got = langid.phrases(codes, np.array([0, len(s)]), [table], 30)[0, 0]
-        assert abs(got - n) <= (1 if set(s) - set(t) else 0), s
+
+
+def count_phrases(s, t):
+    n = i = 0
+    while i < len(s):
+        k = i + 1
+        while k < len(s) and s[i : k + 1] in t:
+            k += 1
+        n, i = n + 1, k
+    return n
+
+
+@pytest.mark.parametrize("few", [0, 64])
+def test_langid_parses_whole_texts(monkeypatch, few):
+    """Phrases are exactly those of one walk through the text, wherever it is cut for the arrays' sake."""
+    monkeypatch.setattr(langid, "FEW", few)
+    r = random.Random(3)
+    table = langid.code_table("abcdefghij")
+    for trial in range(24):
+        letters = "abc" if trial % 2 else "abcdefgh"
+        t = "".join(r.choice(letters[:-1]) for _ in range(r.randrange(1, 300)))
+        automaton = langid.build(langid.encode([t], table)[0].tolist(), 12)
+        texts = ["".join(r.choice(letters + "j") for _ in range(r.randrange(0, 200))) for _ in range(12)] + ["a" * 100, "ab" * 70, t + "j" + t]
+        codes, starts = langid.encode(texts, table)
+        for segment in (1, 2, 7, 512):
+            assert langid.phrases(codes, starts, automaton, segment).tolist() == [count_phrases(s, t) for s in texts]
+
+
+def test_langid_many_scripts_and_languages(spark):
+    """Two languages with 3000 ideographs, Cyrillic, Latin with accents, and 80 languages of one alphabet: 0.95 of each one's held-out texts."""
+    r = random.Random(8)
+    han = [chr(0x4E00 + i) for i in range(3000)]
+    scripts = {"zh": han, "ja": han[1000:] + [chr(0x3041 + i) for i in range(80)], "ru": [chr(0x430 + i) for i in range(32)], "la": list("abcdefghijklmnopqrstuvwxyzàâçéèêëîï")}
+    scripts |= {f"x{i:02}": list("abcdefghijklmnopqrstuvwxyz") for i in range(80)}
+    rows = []
+    for name, letters in scripts.items():
+        words = ["".join(r.choice(letters) for _ in range(r.randrange(2, 3 if len(letters) > 99 else 8))) for _ in range(300)]
+        rows += [(name, " ".join(words[int(300 * r.random() ** 2)] for _ in range(60))) for _ in range(40)]
+    rows = [(i, t, name) for i, (name, t) in enumerate(rows)]
+    got = langid.held_out(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)).where("held_out").collect()
+    right, seen = defaultdict(int), defaultdict(int)
+    for x in got:
+        name = rows[x["doc_id"]][2]
+        seen[name] += 1
+        right[name] += x["lang_pred"] == name
+    assert len(seen) == 84 and all(right[name] >= 0.95 * seen[name] for name in seen)
+
+
+def test_langid_uneven_samples(spark):
+    """A language with one short labelled text doesn't win the others' texts."""
+    r = random.Random(9)
+    words = ["".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(2, 8))) for _ in range(200)]
+    model = langid.learn(spark, {"big": " ".join(r.choice(words) for _ in range(5000)), "tiny": "abcdefghijklmnop", "none": " 12 "})
+    assert model.languages == ["big", "tiny"]
+    names, scores = model.predict([" ".join(r.choice(words) for _ in range(40)) for _ in range(50)] + [None, "", "1 2", "é"])
+    assert names[:50] == ["big"] * 50 and names[50:53] == ["und"] * 3 and scores[50:53] == [0.0] * 3 and all(0 <= x <= 1 for x in scores)
 
 
 def test_quality(spark, docs, empty):
