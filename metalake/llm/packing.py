@@ -1,19 +1,23 @@
 """Lexical retrieval packing: every window is seeded by a document and filled up with its nearest documents by BM25 that
-aren't used yet, of all the corpus.
+aren't used yet, from a sharded inverted index.
 
-A document is its token ids and the separator id. A window takes its seed's ids, then those of the seed's best unused neighbours,
-and, where no unused document shares a search term, of the next unused document. The document that reaches the window's end is cut there
-and seeds the next window. What is in open windows when the documents run out is cut into sequences whose lengths are powers of two,
-which need no padding.
+A document is its token ids and the separator id. A window takes its seed's ids, then those of the seed's best unused neighbours
+in the seed's shard, and, where no unused document there shares a term, of the next unused document. The document that reaches the
+window's end is cut there and seeds the next window. What is in the last window when a shard's documents run out is cut into sequences
+whose lengths are powers of two, which need no padding.
 
-The statistics are the whole corpus'. Documents are indexed in blocks, and every seed asks every block, so a round of search costs documents times
-documents. Rounds give each seed its k best unused documents; the driver fills windows from these lists in the order of a
-hash of id and text. A window whose list is used up waits for the next round, which searches what is still unused. A round
-ends when what waits could take 1/PATIENCE of the rest. The last `AT_ONCE` documents are looked up by the driver, one seed after the other.
-Blocks and partitions don't change the result. The driver holds a length and a list of NEIGHBOURS numbers for each document.
+*Statistics* (number of documents, mean length, documents with each term) are the whole corpus'. All ids of a document are its terms, in
+the index as in the queries. *Shards* are runs of documents in an order in which lexical neighbours are near each other: a document's
+place is given by the three of up to `PIVOTS` sampled documents that BM25 ranks first for it. The order is cut into shards of at most
+`BLOCK_IDS` ids or `BLOCK_DOCS` documents (or one document), so a shard fits a task whatever the input. Every document is
+in one shard's index, and every seed is scored against all documents of its shard, exactly. A seed doesn't see other shards: the
+neighbours are those that the order brings together. README has the measured share of the best score in all the corpus.
 
-Null texts are empty and hold the separator alone. Repeated rows are packed as often as they occur; rows with a null id
-too. Further columns are ignored; an empty table gives an empty result.
+*Copies.* Texts equal to one that a window holds are taken into it only if nothing else is left in the shard. Copies of texts that make up
+more than 1 / `HOT` of all rows, of which there are fewer than `HOT`, go to places drawn by a hash, so no shard is filled with them.
+
+Equal scores go to the document that comes first in the shard (by place, hash of the text, doc_id). Null texts are empty and hold the separator alone. Repeated rows are packed
+as often as they occur; rows with a null id too. Further columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,15 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, materialize, open_fs, partitions, thrifty
+from .common import U64, chunks, materialize, mix64, partitions, release, thrifty
 
 WINDOW, SEPARATOR = 1024, 0
-BLOCK, AT_ONCE = 200_000, 4096  # documents that are indexed at once, and left to the driver
-TERMS, NEIGHBOURS = 8, 16
+PIVOTS, HOT = 1024, 4096
+BLOCK_IDS, BLOCK_DOCS = 2 << 20, 4096
+COMMON = 16  # terms that more than 1 / COMMON of a shard's documents hold are scored by a matrix product, others by their postings
 K1, B = 1.2, 0.75
-PATIENCE = 32  # a round ends when the windows that wait lack this share of the ids left
 CACHE, KEPT = 600_000, 48  # pieces that a worker remembers, and their longest
-COMMON = 2000  # ids below are the vocabulary's most frequent pieces, and no search terms
 
 
 # ---------------------------------------------------------------- tokens
@@ -49,7 +52,7 @@ def _byte_of() -> dict[str, int]:
 
 
 class Tokens(dict):
-    """Ids of the byte-level BPE in a tokenizers file, as little-endian unsigned 32-bit values; special tokens' strings are ordinary text.
+    """Ids of the byte-level BPE in a tokenizers file, as unsigned 32-bit values; strings of added tokens are these tokens, as for that library.
 
     A text may be cut before any blank that text follows: no piece of the splitting pattern reaches across, so pieces are encoded
     once and looked up from then on. The table is emptied when it has CACHE entries.
@@ -64,8 +67,12 @@ class Tokens(dict):
 
         byte = _byte_of()
         model = json.load(open(path, encoding="utf-8"))
-        special = {t["id"] for t in model.get("added_tokens", [])}
-        ranks = {bytes(byte[c] for c in k): v for k, v in model["model"]["vocab"].items() if v not in special}
+        self._added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
+        if any(t.get(k) for t in model.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word")):
+            raise ValueError("added tokens that take in what stands beside them aren't supported")
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")") if self._added else None
+        ranks = {bytes(byte[c] for c in k): v for k, v in model["model"]["vocab"].items() if v not in self._added.values()}
+        self.top = max([*ranks.values(), *self._added.values()])
         self._encode = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def __missing__(self, piece: str) -> bytes:
@@ -77,7 +84,13 @@ class Tokens(dict):
         return ids
 
     def ids(self, text: str) -> np.ndarray:
-        """All ids of a text, as unsigned 32-bit values."""
+        """All ids of a text."""
+        if self._cut is None or not self._cut.search(text):
+            return np.frombuffer(self._plain(text), dtype=np.uint32)
+        parts = self._cut.split(text)  # every other one is an added token
+        return np.frombuffer(b"".join(array("I", [self._added[x]]).tobytes() if i % 2 else self._plain(x) for i, x in enumerate(parts)), dtype=np.uint32)
+
+    def _plain(self, text: str) -> bytes:
         first, *rest = self._splits.split(text) if self._run.search(text) else text.split(" ")
         if rest and not rest[-1]:  # a blank at the end has no text after it
             rest.pop()
@@ -86,7 +99,7 @@ class Tokens(dict):
             else:
                 first += " "
         head = array("I", self._encode(first)).tobytes() if first else b""
-        return np.frombuffer(head + b"".join(map(self.__getitem__, rest)), dtype=np.uint32)
+        return head + b"".join(map(self.__getitem__, rest))
 
 
 _tokens: dict[str, Tokens] = {}
@@ -99,6 +112,13 @@ def tokens(path: str) -> Tokens:
 
 
 # ---------------------------------------------------------------- BM25
+Terms = tuple[np.ndarray, np.ndarray]  # distinct ids, ascending, and how often each occurs
+
+
+def count_terms(ids: np.ndarray) -> Terms:
+    return np.unique(ids, return_counts=True)
+
+
 class Stats:
     """The whole corpus' number of documents, mean length and document frequency of each term."""
 
@@ -106,135 +126,132 @@ class Stats:
         self.n, self.mean, self.df = n, max(1.0, mean), df
         self.idf = np.log1p((n - df + 0.5) / (df + 0.5))
 
-    def weights(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        """BM25 weights of a document's distinct terms."""
-        return self.idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * int(tf.sum()) / self.mean))
-
-    def query(self, terms: np.ndarray, tf: np.ndarray) -> np.ndarray:
-        """The TERMS weightiest terms that a second document holds, ascending."""
-        held = self.df[terms] > 1
-        terms, w = terms[held], self.weights(terms, tf)[held]
-        return np.sort(terms[np.lexsort((terms, -w))[:TERMS]])
-
-
-def count_terms(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct search terms of a document and how often each occurs; the COMMON first ids are stop words."""
-    terms, tf = np.unique(ids[ids >= COMMON], return_counts=True)
-    return terms.astype("<u4"), tf.astype("<u4")
+    def weights(self, terms: Terms) -> np.ndarray:
+        """BM25 weights of a document's terms."""
+        t, tf = terms
+        return self.idf[t] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * int(tf.sum()) / self.mean))
 
 
 class Index:
-    """A BM25 inverted index over a block of documents, given as corpus-wide numbers, distinct terms and their counts."""
+    """A BM25 inverted index over documents, given by their terms."""
 
-    def __init__(self, stats: Stats, numbers: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]]):
-        self.n, self.numbers = stats.n, numbers
-        sizes = np.fromiter((len(t) for t, _ in docs), np.int64, len(docs))
-        term = np.concatenate([np.empty(0, np.uint32), *(t for t, _ in docs)]).astype(np.int64)
-        weight = np.concatenate([np.empty(0, np.float32), *(stats.weights(t, c).astype(np.float32) for t, c in docs)])
-        order = np.argsort(term, kind="stable")
-        self.doc, self.weight = np.repeat(np.arange(len(docs), dtype=np.int32), sizes)[order], weight[order]
-        self.at = np.zeros(len(stats.df) + 1, np.int64)
-        np.cumsum(np.bincount(term, minlength=len(stats.df)), out=self.at[1:])
+    def __init__(self, stats: Stats, docs: list[Terms]):
         self.size = len(docs)
-
-    def best(self, number: int, terms: np.ndarray, k: int, dead: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers and scores of the k best documents but `number` and the dead ones, best first; among equals the next in number, cyclically."""
-        parts = max(1, min(4 * k, self.size))
-        wide = -(-self.size // parts)
-        score = np.zeros(parts * wide, np.float32)
-        for t in terms:
-            s = slice(self.at[t], self.at[t + 1])
-            score[self.doc[s]] += self.weight[s]
-        own = np.searchsorted(self.numbers, number)
-        if own < self.size and self.numbers[own] == number:
-            score[own] = 0
-        if dead is not None:
-            score[: self.size][dead] = 0
-        # the k-th largest of the parts' maxima is no larger than the k-th largest score
-        floor = np.partition(score.reshape(parts, wide).max(1), parts - k)[parts - k] if parts > k else 0
-        top = np.flatnonzero(score >= floor) if floor > 0 else np.flatnonzero(score)
-        ids, s = self.numbers[top], score[top]
-        first = np.lexsort(((ids - number) % self.n, -s))[:k]
-        return ids[first], s[first]
+        sizes = np.fromiter((len(t) for t, _ in docs), np.int64, self.size)
+        term = np.concatenate([np.empty(0, np.int64), *(t for t, _ in docs)]).astype(np.int64)
+        weight = np.concatenate([np.empty(0), *(stats.weights(d) for d in docs)])
+        doc = np.repeat(np.arange(self.size), sizes)
+        order = np.argsort(term, kind="stable")
+        self.doc, self.weight = doc[order], weight[order]
+        self.at = np.searchsorted(term[order], np.arange(len(stats.df) + 1))
+        self.common = np.flatnonzero(np.diff(self.at) * COMMON > self.size)
+        self.place = np.full(len(stats.df), -1)
+        self.place[self.common] = np.arange(len(self.common))
+        self.dense = np.zeros((len(self.common), self.size), np.float32)
+        dense = self.place[term] >= 0
+        self.dense[self.place[term[dense]], doc[dense]] = weight[dense]
+
+    def scores(self, queries: list[Terms]) -> np.ndarray:
+        """The score of every document (columns) for each query (rows), each term of which counts once."""
+        own = np.fromiter((len(t) for t, _ in queries), np.int64, len(queries))
+        who, term = np.repeat(np.arange(len(queries)), own), np.concatenate([np.empty(0, np.int64), *(t for t, _ in queries)]).astype(np.int64)
+        at = self.place[term]
+        asked = np.zeros((len(queries), len(self.common)), np.float32)
+        asked[who[at >= 0], at[at >= 0]] = 1
+        return asked @ self.dense + self._postings(who[at < 0], term[at < 0], len(queries)).astype(np.float32)
+
+    def _postings(self, who: np.ndarray, term: np.ndarray, n: int) -> np.ndarray:
+        """Sums over the postings of (query, term) pairs, a bounded number of postings at a time."""
+        out = np.zeros(n * self.size)
+        size = self.at[term + 1] - self.at[term]
+        for i, j in chunks(size.tolist(), 4 << 20):
+            n_ = size[i:j]
+            spot = np.repeat(self.at[term[i:j]] - np.cumsum(n_) + n_, n_) + np.arange(int(n_.sum()))
+            low, high = int(who[i]) * self.size, (int(who[j - 1]) + 1) * self.size
+            out[low:high] += np.bincount(np.repeat(who[i:j], n_) * self.size + self.doc[spot] - low, weights=self.weight[spot], minlength=high - low)
+        return out.reshape(n, self.size)
+
+
+class Router:
+    """Places of documents in the order: their three best pivots, in one number."""
+
+    def __init__(self, stats: Stats, pivots: list[Terms], hot: list[int]):
+        self.stats, self.index = stats, Index(stats, pivots)
+        self.hot = np.array(sorted(hot), np.int64)
+        self.places = np.sort(self._best(pivots)) if pivots else np.zeros(1, np.int64)
+
+    def _best(self, docs: list[Terms]) -> np.ndarray:
+        score = self.index.scores(docs)
+        top = np.full((len(docs), 3), PIVOTS, np.int64)
+        for k in range(min(3, self.index.size)):
+            best = score.argmax(axis=1)
+            some = score[np.arange(len(docs)), best] > 0
+            top[some, k] = best[some]
+            score[np.arange(len(docs)), best] = 0
+        return (top[:, 0] << 40) | (top[:, 1] << 20) | top[:, 2]
+
+    def places_of(self, docs: list[Terms], keys: np.ndarray, draws: np.ndarray) -> np.ndarray:
+        out = self._best(docs) if self.index.size else np.zeros(len(docs), np.int64)
+        hot = np.isin(keys, self.hot)
+        out[hot] = self.places[(draws[hot] % U64(len(self.places))).astype(np.int64)]
+        return out
 
 
 # ---------------------------------------------------------------- windows
-class Packer:
-    """Windows in the making. A window asks for its seed's best unused documents; one whose list of k is used up, with
-    more to find, waits for the next round of search."""
-
-    def __init__(self, lengths: np.ndarray, window: int):
-        self.lengths, self.window = lengths, window
-        self.used = np.zeros(len(lengths), dtype=bool)
-        self.left, self.ids_left, self.following = len(lengths), int(lengths.sum()), 0
-        self.pieces = [array("q") for _ in range(5)]  # document, start, length, sequence, offset
-        self.sequences, self.waiting, self.need = 0, [], 0
-
-    def _next(self) -> int:
-        while self.used[self.following]:
-            self.following += 1
-        return self.following
-
-    def _place(self, d: int, sequence: int, fill: int) -> tuple[int, int, bool]:
-        """Where document d ends, and whether it was cut at a window's end."""
-        self.used[d] = True
-        self.left, self.ids_left = self.left - 1, self.ids_left - int(self.lengths[d])
-        start, size, cut = 0, int(self.lengths[d]), False
+def fill(lengths: np.ndarray, keys: np.ndarray, scores: np.ndarray, window: int) -> list[tuple[int, int, int, int, int]]:
+    """Pieces (document, start, length, sequence, offset) of a shard's documents; scores[i] are those of all for the seed i."""
+    n = len(lengths)
+    pieces: list[tuple[int, int, int, int, int]] = []
+    used = np.zeros(n, dtype=bool)
+    _, group = np.unique(keys, return_inverse=True)
+    members = np.split(np.argsort(group, kind="stable"), np.cumsum(np.bincount(group))[:-1])
+    following, sequence, room = 0, -1, 0  # the next that may be unused, the window, the ids that it still takes
+    seed, row, held = -1, None, []
+    for _ in range(n):
+        while used[following]:
+            following += 1
+        d = following
+        if room:
+            if row is None:
+                row = np.where(used, -1.0, scores[seed])
+                row[members[held[0]]] = -1.0
+            d = int(row.argmax())
+            if row[d] <= 0:  # nothing shares a term: the next one, of another text if there is one
+                other = ~used
+                for g in held:
+                    other[members[g]] = False
+                d = int(other.argmax()) if other.any() else following
+        used[d] = True
+        start, size, opened = 0, int(lengths[d]), False
         while start < size:
-            if fill == self.window:
-                sequence, fill, cut = self.sequences, 0, True
-                self.sequences += 1
-            n = min(size - start, self.window - fill)
-            for a, x in zip(self.pieces, (d, start, n, sequence, fill), strict=True):
-                a.append(x)
-            start, fill = start + n, fill + n
-        return sequence, fill, cut
-
-    def round(self, ask) -> None:
-        """ask(seed) gives the best unused documents of the seed, best first, and whether there may be more."""
-        waiting, self.waiting, self.need = self.waiting, [], 0
-        todo = iter(waiting)
-        while True:
-            if (w := next(todo, None)) is not None:
-                seed, sequence, fill = w
-            elif not self.left or (self.waiting and PATIENCE * self.need > self.ids_left):
-                return
-            else:
-                seed, sequence = self._next(), self.sequences
-                self.sequences += 1
-                sequence, fill, _ = self._place(seed, sequence, 0)
-            queue, more = None, False
-            while fill < self.window:
-                if queue is None:
-                    found, more = ask(seed)
-                    queue = found[::-1]
-                while queue and self.used[queue[-1]]:
-                    queue.pop()
-                if not queue and more or not self.left:
-                    self.waiting.append((seed, sequence, fill))
-                    self.need += self.window - fill
-                    break
-                d = queue.pop() if queue else self._next()
-                sequence, fill, cut = self._place(d, sequence, fill)
-                if cut:
-                    seed, queue = d, None
-
-    def finish(self) -> list[np.ndarray]:
-        """All pieces; those of windows that stayed open are cut into full windows and powers of two that their length is the sum of."""
-        cols = [np.frombuffer(a, np.int64) for a in self.pieces]
-        still = np.isin(cols[3], [s for _, s, _ in self.waiting])
-        out = [array("q") for _ in range(5)]
-        total, room, fill, sequence = int(cols[2][still].sum()), 0, 0, self.sequences - 1
-        for d, start, n in zip(*(c[still].tolist() for c in cols[:3]), strict=True):
-            while n:
-                if room == fill:
-                    sequence, fill, room = sequence + 1, 0, min(self.window, 1 << (total.bit_length() - 1))
-                    total -= room
-                k = min(n, room - fill)
-                for a, x in zip(out, (d, start, k, sequence, fill), strict=True):
-                    a.append(x)
-                start, n, fill = start + k, n - k, fill + k
-        return [np.concatenate((c[~still], np.frombuffer(o, np.int64))) for c, o in zip(cols, out, strict=True)]
+            if not room:
+                sequence, room, opened = sequence + 1, window, True
+            k = min(size - start, room)
+            pieces.append((d, start, k, sequence, window - room))
+            start, room = start + k, room - k
+        if opened:
+            seed, row, held = d, None, [group[d]]
+        else:
+            held.append(group[d])
+            if row is not None:
+                row[members[group[d]]] = -1.0
+    return _cut_last(pieces, sequence) if room else pieces
+
+
+def _cut_last(pieces: list[tuple[int, int, int, int, int]], last: int) -> list[tuple[int, int, int, int, int]]:
+    """The last, open window cut into sequences whose lengths are powers of two."""
+    out = [p for p in pieces if p[3] != last]
+    total = sum(p[2] for p in pieces if p[3] == last)
+    sequence, room, at = last - 1, 0, 0
+    for d, start, n, q, _ in pieces:
+        while q == last and n:
+            if room == at:
+                sequence, at, room = sequence + 1, 0, 1 << (total.bit_length() - 1)
+                total -= room
+            k = min(n, room - at)
+            out.append((d, start, k, sequence, at))
+            start, n, at = start + k, n - k, at + k
+    return out
 
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -246,221 +263,132 @@ def _batch(schema: str, cols: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(cols, fields, strict=True)], [n for n, _ in fields])
 
 
-def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for b in batches:
-        yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+def _ids(column: pa.Array, kind: str) -> list[np.ndarray]:
+    """Views of the column's ids; a document's last is the separator."""
+    data = np.frombuffer(column.buffers()[2], np.uint8) if len(column) and column.buffers()[2] is not None else np.empty(0, np.uint8)
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] if len(column) else [0]
+    return [data[a:b].view(kind) for a, b in zip(at, at[1:], strict=False)]
 
 
-def _tokenise(docs: DataFrame, tokenizer: str) -> DataFrame:
-    """Ids, terms and counts of each document, rows numbered within parts that are in the order of a hash of id and text."""
+def _tokenise(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
+    """(doc_id, key, ids) of each document, key being a hash of its text; and each task's counts of documents by term (df), all else null."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("h", F.xxhash64("doc_id", "text"))
-    dealt = rows.repartitionByRange(partitions(docs.sparkSession), "h", "doc_id", "text").sortWithinPartitions("h", "doc_id", "text").select("doc_id", "text")
-    schema = "part int, row int, doc_id long, ids binary, terms binary, tf binary"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    schema = "doc_id long, key long, n int, ids binary, df binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        part, row = TaskContext.get().partitionId(), 0
-        encode = tokens(tokenizer).ids
-        end = np.array([SEPARATOR], dtype="<u4")
+        encoder, end = tokens(tokenizer), np.array([SEPARATOR], np.uint32)
+        df = np.zeros(encoder.top + 1, np.uint32)
         for b in batches:
-            out = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                d = np.concatenate((encode(t), end)).astype("<u4")
-                terms, tf = count_terms(d)
-                out.append((part, row, i, d.tobytes(), terms.tobytes(), tf.tobytes()))
-                row += 1
-            if out:
-                yield _batch(schema, list(zip(*out, strict=True)))
+            out, n = [], []
+            for t in b.column(2).to_pylist():
+                d = np.concatenate((encoder.ids(t), end))
+                df[np.unique(d[:-1])] += 1
+                out.append(d.astype(kind).tobytes())
+                n.append(len(d))
+            yield _batch(schema, [b.column(0), b.column(1), n, out, pa.nulls(len(out), pa.binary())])
+        if df.any():
+            yield _batch(schema, [[None], [None], [None], [None], [df.tobytes()]])
+
+    return materialize(rows.mapInArrow(thrifty(run), schema), "packing-ids")
 
-    return materialize(dealt.mapInArrow(thrifty(run), schema), "packing-ids")
 
+def _statistics(held: DataFrame, kind: str) -> Stats:
+    wide = np.dtype(kind).itemsize
 
-def _statistics(held: DataFrame, n: int) -> Stats:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        df, total = np.zeros(1, np.int64), 0
-        for terms, tf in _each(batches):
-            t = np.frombuffer(terms, "<u4")
-            if len(t) and t[-1] >= len(df):
-                df = np.concatenate((df, np.zeros(int(t[-1]) + 1 - len(df), np.int64)))
-            df[t] += 1
-            total += int(np.frombuffer(tf, "<u4").sum())
+        df = np.zeros(1, np.int64)
+        for b in batches:
+            for x in b.column(0).to_pylist():
+                new = np.frombuffer(x, np.uint32)
+                df = np.concatenate((df, np.zeros(max(0, len(new) - len(df)), np.int64)))
+                df[: len(new)] += new
         found = np.flatnonzero(df)
-        yield _batch("term long, n long", [np.append(found, -1), np.append(df[found], total)])
+        yield _batch("term long, n long", [found, df[found]])
 
-    got = dict(map(tuple, held.select("terms", "tf").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect()))
-    total = got.pop(-1, 0)
-    df = np.zeros(max(got, default=0) + 1, np.int64)
+    total = held.agg(F.count("n").alias("n"), F.sum(F.col("n") - 1).alias("ids")).first()
+    got = dict(map(tuple, held.where("df is not null").select("df").mapInArrow(run, "term long, n long").groupBy("term").agg(F.sum("n")).collect()))  # a row for each id of the vocabulary at most
+    df = np.zeros(1 << (8 * wide) if wide < 4 else max(got, default=0) + 1, np.int64)
     df[list(got)] = list(got.values())
-    return Stats(n, total / max(1, n), df)
-
+    return Stats(total["n"], (total["ids"] or 0) / max(1, total["n"]), df)
 
-def _files(path: str) -> list[str]:
-    from pyarrow import fs
 
-    system, root = open_fs(path)
-    return sorted(f.path for f in system.get_file_info(fs.FileSelector(root)) if f.path.endswith(".parquet"))
+def _router(held: DataFrame, stats: Stats, kind: str) -> Router:
+    """A router with pivots drawn by a hash of the text among the different texts."""
+    documents = held.where("n is not null")
+    hot = [r["key"] for r in documents.groupBy("key").count().where(F.col("count") > max(16.0, stats.n / HOT)).select("key").collect()]  # fewer than HOT
+    draw = F.pmod(F.xxhash64("key"), F.lit(1 << 30))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [count_terms(d[:-1]) for d in _ids(b.column(1), kind)]
+            yield _batch("key long, terms binary, tf binary", [b.column(0).to_pylist(), [t.astype("<u4").tobytes() for t, _ in found], [c.astype("<u4").tobytes() for _, c in found]])
 
-def _read(path: str, columns: list[str]) -> Iterator[pa.RecordBatch]:
-    import pyarrow.parquet as pq
+    taken = documents.where(draw < min(1 << 30, (PIVOTS << 30) // max(1, stats.n))).select("key", "ids")
+    rows = taken.mapInArrow(run, "key long, terms binary, tf binary").dropDuplicates(["key"]).collect()  # about PIVOTS rows at most
+    pivots = [(np.frombuffer(r["terms"], "<u4"), np.frombuffer(r["tf"], "<u4")) for r in sorted(rows, key=lambda r: r["key"])]
+    return Router(stats, pivots, hot)
 
-    system, _ = open_fs(path)
-    for f in _files(path):
-        with system.open_input_file(f) as source:
-            yield from pq.ParquetFile(source).iter_batches(columns=columns)
 
+def _route(held: DataFrame, router: Router, kind: str) -> DataFrame:
+    state = held.sparkSession.sparkContext.broadcast(router)
 
-def _search(held: DataFrame, base: np.ndarray, stats: Stats, used: np.ndarray, asking: np.ndarray, k: int) -> str:
-    """Folder of (number, found): the k best unused documents of all the corpus for each asking one."""
-    spark = held.sparkSession
-    state = spark.sparkContext.broadcast((base, stats, np.packbits(used), np.packbits(asking)))
-    queries = fresh_path(spark, "packing-queries")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    def query(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, stats, _, asking = state.value
-        asking = np.unpackbits(asking)
+        row = TaskContext.get().partitionId() << 40
         for b in batches:
-            out = []
-            for part, row, terms, tf in _each([b]):
-                if asking[base[part] + row]:
-                    out.append((int(base[part] + row), stats.query(np.frombuffer(terms, "<u4"), np.frombuffer(tf, "<u4")).tobytes()))
-            if out:
-                yield _batch("number long, terms binary", list(zip(*out, strict=True)))
-
-    rows = held.select("part", "row", "terms", "tf")
-    rows.mapInArrow(query, "number long, terms binary").write.parquet(queries)
-    schema = "number long, found binary, scores binary"
-
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, stats, used, _ = state.value
-        used = np.unpackbits(used)
-
-        def block(docs: dict) -> Iterator[pa.RecordBatch]:
-            numbers = np.array(sorted(docs), np.int64)
-            index = Index(stats, numbers, [docs.pop(int(i)) for i in numbers])
-            for b in _read(queries, ["number", "terms"]):
-                out = []
-                for number, terms in _each([b]):
-                    found, scores = index.best(number, np.frombuffer(terms, "<u4"), k)
-                    if len(found):
-                        out.append((number, found.astype("<i4").tobytes(), scores.astype("<f4").tobytes()))
-                if out:
-                    yield _batch(schema, list(zip(*out, strict=True)))
-
-        docs = {}
-        for part, row, terms, tf in _each(batches):
-            number = int(base[part] + row)
-            if not used[number]:
-                docs[number] = np.frombuffer(terms, "<u4"), np.frombuffer(tf, "<u4")
-                if len(docs) >= BLOCK:
-                    yield from block(docs)
-                    docs = {}
-        if docs:
-            yield from block(docs)
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = len(used)
-        for b in batches:
-            out = []
-            for number, found, scores in _each([b]):
-                f, s = np.frombuffer(b"".join(found), "<i4").astype(np.int64), np.frombuffer(b"".join(scores), "<f4")
-                out.append((number, f[np.lexsort(((f - number) % n, -s))[:k]].astype("<i4").tobytes()))
-            if out:
-                yield _batch("number long, found binary", list(zip(*out, strict=True)))
+            for i, j in ((i, min(i + 512, b.num_rows)) for i in range(0, b.num_rows, 512)):
+                c = b.slice(i, j - i)
+                draws = mix64(np.arange(row, row + j - i).astype(U64) + U64(0x9E3779B97F4A7C15))
+                row += j - i
+                place = state.value.places_of([count_terms(d[:-1]) for d in _ids(c.column(2), kind)], c.column(1).to_numpy(), draws)
+                yield pa.RecordBatch.from_arrays([*c.columns, pa.array(place)], ["doc_id", "key", "ids", "place"])
 
-    blocks = max(spark.sparkContext.defaultParallelism, -(-int((~used).sum()) // BLOCK))
-    both = rows.coalesce(blocks).mapInArrow(thrifty(look), schema).groupBy("number").agg(F.collect_list("found").alias("found"), F.collect_list("scores").alias("scores"))
-    path = fresh_path(spark, "packing-found")
-    both.mapInArrow(merge, "number long, found binary").write.parquet(path)
-    return path
+    return held.where("n is not null").select("doc_id", "key", "ids").mapInArrow(thrifty(run), "doc_id long, key long, ids binary, place long")
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, at_once: int = AT_ONCE) -> DataFrame:
-    """The pieces of docs (doc_id, text) in sequences of at most `window` ids; window is a power of two.
+def shard_scores(stats: Stats, terms: list[Terms]) -> np.ndarray:
+    """All documents' scores for each; no document is its own neighbour."""
+    scores = Index(stats, terms).scores(terms)
+    np.fill_diagonal(scores, 0)
+    return scores
 
-    at_once: documents that may be left for the driver to look up by itself.
-    """
-    spark = docs.sparkSession
-    held = _tokenise(docs, tokenizer)
-    sizes = held.select("part", "row", (F.length("ids") / 4).cast("int").alias("n")).toArrow()
-    part, row, length = (sizes.column(i).to_numpy() for i in range(3))
-    counts = np.bincount(part) if len(part) else np.zeros(0, np.int64)
-    base = np.concatenate(([0], np.cumsum(counts))).astype(np.int64)
-    lengths = np.empty(len(part), np.int32)
-    lengths[base[part] + row] = length
-    stats = _statistics(held, len(lengths))
-    packer, k = Packer(lengths, window), NEIGHBOURS
-    while packer.left:
-        asking = ~packer.used
-        asking[[w[0] for w in packer.waiting]] = True
-        if asking.sum() <= at_once:
-            mine = spark.sparkContext.broadcast((base, np.packbits(asking)))
-
-            def wanted(batches: Iterator[pa.RecordBatch], mine=mine) -> Iterator[pa.RecordBatch]:
-                base, mask = mine.value
-                mask = np.unpackbits(mask).astype(bool)
-                for b in batches:
-                    number = base[b.column(0).to_numpy()] + b.column(1).to_numpy()
-                    keep = pa.array(mask[number])
-                    yield pa.RecordBatch.from_arrays([pa.array(number), b.column(2), b.column(3)], ["number", "terms", "tf"]).filter(keep)
-
-            got = held.select("part", "row", "terms", "tf").mapInArrow(wanted, "number long, terms binary, tf binary").toArrow()
-            terms = {i: (np.frombuffer(t, "<u4"), np.frombuffer(c, "<u4")) for i, t, c in _each(got.to_batches())}
-            numbers = np.array(sorted(terms), np.int64)
-            index = Index(stats, numbers, [terms[int(i)] for i in numbers])
-
-            def ask(seed: int):
-                found, _ = index.best(seed, stats.query(*terms[seed]), NEIGHBOURS, packer.used[numbers])
-                return found.tolist(), len(found) == NEIGHBOURS
 
-        else:
-            path = _search(held, base, stats, packer.used, asking, k)
-            place, lists = np.full(len(lengths), -1, np.int64), []
-            for b in _read(path, ["number", "found"]):
-                place[b.column(0).to_numpy()] = np.arange(len(lists), len(lists) + len(b))
-                lists += b.column(1).to_pylist()
-
-            def ask(seed: int, place=place, lists=lists, k=k):
-                found = np.frombuffer(lists[place[seed]], "<i4").tolist() if place[seed] >= 0 else []
-                return found, len(found) == k
-
-            k *= 2
-        packer.round(ask)
-    return _cut(held, base, packer.finish())
-
-
-def _cut(held: DataFrame, base: np.ndarray, pieces: list[np.ndarray]) -> DataFrame:
-    """The rows of SCHEMA; each part's pieces are written to a file that the part's readers look up."""
-    import pyarrow.parquet as pq
-
-    path = fresh_path(held.sparkSession, "packing-pieces")
-    system, root = open_fs(path)
-    system.create_dir(root)
-    order = np.lexsort((pieces[1], pieces[0]))
-    pieces = [c[order] for c in pieces]
-    ends = np.searchsorted(pieces[0], base)
-    for p in range(len(base) - 1):
-        s = slice(ends[p], ends[p + 1])
-        table = pa.table([pieces[0][s] - base[p], *(c[s] for c in pieces[1:])], names=["row", "start", "length", "sequence", "offset"])
-        with system.open_output_stream(f"{root}/{p}.parquet") as f:
-            pq.write_table(table, f)
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+    """The pieces of docs (doc_id, text) in sequences of at most `window` ids; window is a power of two."""
+    spark = docs.sparkSession
+    kind = "<u2" if tokens(tokenizer).top < 1 << 16 else "<u4"
+    held = _tokenise(docs, tokenizer, kind)
+    stats = _statistics(held, kind)
+    routed = materialize(_route(held, _router(held, stats, kind), kind), "packing-places")
+    release(held)
+    state = spark.sparkContext.broadcast(stats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = None
-        system, root = open_fs(path)
+        from pyspark import TaskContext
+
+        sequence = TaskContext.get().partitionId() << 40
+        block, size = ([], [], []), 0
         for b in batches:
-            out = []
-            for part, row, doc_id, ids in _each([b]):
-                if part != own:
-                    with system.open_input_file(f"{root}/{part}.parquet") as f:
-                        at, *cols = (c.to_numpy() for c in pq.read_table(f).columns)
-                    own = part
-                d = np.frombuffer(ids, "<u4")
-                s = slice(*np.searchsorted(at, [row, row + 1]))
-                out += [(doc_id, x, n, zlib.crc32(d[x : x + n].tobytes()), len(d), q, o) for x, n, q, o in zip(*(c[s].tolist() for c in cols), strict=True)]
-            if out:
-                yield _batch(SCHEMA, list(zip(*out, strict=True)))
-
-    return held.select("part", "row", "doc_id", "ids").mapInArrow(thrifty(run), SCHEMA)
+            for i, k, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), _ids(b.column(2), kind), strict=True):
+                if block[0] and (size + len(d) > BLOCK_IDS or len(block[0]) == BLOCK_DOCS):
+                    out, sequence = _pieces(*block, state.value, window, sequence)
+                    yield out
+                    block, size = ([], [], []), 0
+                for x, y in zip(block, (i, k, d), strict=True):
+                    x.append(y)
+                size += len(d)
+        if block[0]:
+            yield _pieces(*block, state.value, window, sequence)[0]
+
+    order = ["place", "key", "doc_id"]
+    dealt = routed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "key", "ids")
+    return dealt.mapInArrow(thrifty(run), SCHEMA)
+
+
+def _pieces(doc_ids: list, keys: list, ids: list[np.ndarray], stats: Stats, window: int, base: int) -> tuple[pa.RecordBatch, int]:
+    """The rows of a shard's documents, sequences numbered from base, and the next number."""
+    found = fill(np.array([len(d) for d in ids]), np.array(keys), shard_scores(stats, [count_terms(d[:-1]) for d in ids]), window)
+    rows = [(doc_ids[d], x, n, zlib.crc32(ids[d][x : x + n].astype("<u4").tobytes()), len(ids[d]), base + q, o) for d, x, n, q, o in found]
+    return _batch(SCHEMA, list(zip(*rows, strict=True))), base + 1 + max(p[3] for p in found)
