@@ -37,10 +37,11 @@ from .common import U64, chunks, materialize, mix64, partitions, release, thrift
 
 WINDOW, SEPARATOR = 1024, 0
 PIVOTS, HOT = 1024, 4096
+SPARSE = 8  # at most one text in so many is a pivot
 BLOCK_IDS, BLOCK_DOCS = 2 << 20, 4096
 COMMON = 16  # terms that more than 1 / COMMON of a shard's documents hold are scored by a matrix product, others by their postings
 K1, B = 1.2, 0.75
-CACHE, KEPT = 600_000, 48  # pieces that a worker remembers, and their longest
+CACHE, KEPT, AT_ONCE = 600_000, 48, 1 << 20  # pieces that a worker remembers, their longest; characters encoded at once
 
 
 # ---------------------------------------------------------------- tokens
@@ -51,15 +52,15 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class Tokens(dict):
+class Tokens:
     """Ids of the byte-level BPE in a tokenizers file, as unsigned 32-bit values; strings of added tokens are these tokens, as for that library.
 
-    A text may be cut before any blank that text follows: no piece of the splitting pattern reaches across, so pieces are encoded
-    once and looked up from then on. The table is emptied when it has CACHE entries.
+    A text may be cut before any blank that text follows: no piece of the splitting pattern reaches across. So pieces are encoded
+    once, those of many texts in one call, and looked up from then on. The table is emptied when it has CACHE entries.
     """
 
     _splits = re.compile(r" (?=\S)")
-    _run = re.compile(r"(?<= )\s")
+    _run = re.compile(r" \s")
 
     def __init__(self, path: str):
         import public_tokenizers
@@ -70,27 +71,20 @@ class Tokens(dict):
         self._added = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         if any(t.get(k) for t in model.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word")):
             raise ValueError("added tokens that take in what stands beside them aren't supported")
-        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")") if self._added else None
+        self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self._added, key=len, reverse=True))) + ")")
         ranks = {bytes(byte[c] for c in k): v for k, v in model["model"]["vocab"].items() if v not in self._added.values()}
         self.top = max([*ranks.values(), *self._added.values()])
-        self._encode = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = array("I", self._encode(" " + piece)).tobytes()
-        if len(piece) <= KEPT:
-            if len(self) >= CACHE:
-                self.clear()
-            self[piece] = ids
-        return ids
-
-    def ids(self, text: str) -> np.ndarray:
-        """All ids of a text."""
-        if self._cut is None or not self._cut.search(text):
-            return np.frombuffer(self._plain(text), dtype=np.uint32)
-        parts = self._cut.split(text)  # every other one is an added token
-        return np.frombuffer(b"".join(array("I", [self._added[x]]).tobytes() if i % 2 else self._plain(x) for i, x in enumerate(parts)), dtype=np.uint32)
-
-    def _plain(self, text: str) -> bytes:
+        self._size = np.zeros(self.top + 1, np.int64)  # bytes of each id
+        for k, v in ranks.items():
+            self._size[v] = len(k)
+        self._model = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._known: dict[str, bytes] = {}
+
+    def _plan(self, text: str) -> list[bytes | list[str]]:
+        """Ids that are known, and pieces to look up, which a blank goes before."""
+        if any(x in text for x in self._added):
+            parts = self._cut.split(text)  # every other one is an added token
+            return [y for i, x in enumerate(parts) for y in ([array("I", [self._added[x]]).tobytes()] if i % 2 else self._plan(x))]
         first, *rest = self._splits.split(text) if self._run.search(text) else text.split(" ")
         if rest and not rest[-1]:  # a blank at the end has no text after it
             rest.pop()
@@ -98,8 +92,44 @@ class Tokens(dict):
                 rest[-1] += " "
             else:
                 first += " "
-        head = array("I", self._encode(first)).tobytes() if first else b""
-        return head + b"".join(map(self.__getitem__, rest))
+        return [array("I", self._model.encode_ordinary(first)).tobytes() if first else b"", rest]
+
+    def _learn(self, pieces: list[str]) -> list[bytes]:
+        ids = self._model.encode_to_numpy("".join(" " + x for x in pieces), disallowed_special=())
+        ends = np.cumsum(self._size[ids])
+        want = np.cumsum([len(x.encode()) + 1 for x in pieces])
+        stops = np.searchsorted(ends, want) + 1
+        if (ends[stops - 1] != want).any():
+            raise AssertionError("a piece's ids reach into the next one's")
+        raw = ids.astype(np.uint32).tobytes()
+        return [raw[4 * i : 4 * j] for i, j in zip([0, *stops[:-1].tolist()], stops.tolist(), strict=True)]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """All ids of each text."""
+        out = []
+        for i, j in chunks(map(len, texts), AT_ONCE):
+            if len(self._known) >= CACHE:
+                self._known.clear()
+            look, plans, new = self._known.get, [self._plan(t) for t in texts[i:j]], {}
+            for plan in plans:
+                for k, part in enumerate(plan):
+                    if isinstance(part, list):
+                        plan[k] = found = list(map(look, part))  # one look at the table for each piece: it is larger than a processor's cache
+                        if None in found:
+                            for at, (x, y) in enumerate(zip(part, found, strict=True)):
+                                if y is None:
+                                    new.setdefault(x, []).append((found, at))
+            if new:
+                for (x, places), y in zip(new.items(), self._learn(list(new)), strict=True):
+                    for found, at in places:
+                        found[at] = y
+                    if len(x) <= KEPT:
+                        self._known[x] = y
+            out += [np.frombuffer(b"".join([b"".join(part) if isinstance(part, list) else part for part in plan]), np.uint32) for plan in plans]
+        return out
+
+    def ids(self, text: str) -> np.ndarray:
+        return self.encode([text])[0]
 
 
 _tokens: dict[str, Tokens] = {}
@@ -173,10 +203,15 @@ class Index:
 
 
 class Router:
-    """Places of documents in the order: their three best pivots, in one number."""
+    """Places of documents in the order: their three best pivots, in one number.
+
+    Rare terms count for more here than in the windows (the cube of their idf): they tell which neighbours stand out.
+    """
 
     def __init__(self, stats: Stats, pivots: list[Terms], hot: list[int]):
-        self.stats, self.index = stats, Index(stats, pivots)
+        told = Stats(stats.n, stats.mean, stats.df)
+        told.idf = stats.idf**3
+        self.index = Index(told, pivots)
         self.hot = np.array(sorted(hot), np.int64)
         self.places = np.sort(self._best(pivots)) if pivots else np.zeros(1, np.int64)
 
@@ -281,8 +316,8 @@ def _tokenise(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
         df = np.zeros(encoder.top + 1, np.uint32)
         for b in batches:
             out, n = [], []
-            for t in b.column(2).to_pylist():
-                d = np.concatenate((encoder.ids(t), end))
+            for d in encoder.encode(b.column(2).to_pylist()):
+                d = np.concatenate((d, end))
                 df[np.unique(d[:-1])] += 1
                 out.append(d.astype(kind).tobytes())
                 n.append(len(d))
@@ -324,7 +359,7 @@ def _router(held: DataFrame, stats: Stats, kind: str) -> Router:
             found = [count_terms(d[:-1]) for d in _ids(b.column(1), kind)]
             yield _batch("key long, terms binary, tf binary", [b.column(0).to_pylist(), [t.astype("<u4").tobytes() for t, _ in found], [c.astype("<u4").tobytes() for _, c in found]])
 
-    taken = documents.where(draw < min(1 << 30, (PIVOTS << 30) // max(1, stats.n))).select("key", "ids")
+    taken = documents.where(draw < min((1 << 30) // SPARSE, (PIVOTS << 30) // max(1, stats.n))).select("key", "ids")
     rows = taken.mapInArrow(run, "key long, terms binary, tf binary").dropDuplicates(["key"]).collect()  # about PIVOTS rows at most
     pivots = [(np.frombuffer(r["terms"], "<u4"), np.frombuffer(r["tf"], "<u4")) for r in sorted(rows, key=lambda r: r["key"])]
     return Router(stats, pivots, hot)
@@ -383,7 +418,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
             yield _pieces(*block, state.value, window, sequence)[0]
 
     order = ["place", "key", "doc_id"]
-    dealt = routed.repartitionByRange(partitions(spark), *order).sortWithinPartitions(*order).select("doc_id", "key", "ids")
+    parts = min(2 * partitions(spark), 4 * int(stats.mean * stats.n) // BLOCK_IDS + 1)  # few texts aren't dealt thin
+    dealt = routed.repartitionByRange(parts, *order).sortWithinPartitions(*order).select("doc_id", "key", "ids")
     return dealt.mapInArrow(thrifty(run), SCHEMA)
 
 
