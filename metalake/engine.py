@@ -11,10 +11,26 @@ from .plans.catalog import Catalog, Table
 from .sources.metastore import Metastore, ThriftMetastore, parse_endpoint
 
 
+class Catalogs(dict[str, Catalog]):
+    """Catalogs by name; as with the host's own names, case doesn't tell them apart."""
+
+    def key(self, name: str) -> str:
+        return next((k for k in self if k.casefold() == name.casefold()), name)
+
+    def __contains__(self, name: object) -> bool:
+        return isinstance(name, str) and super().__contains__(self.key(name))
+
+    def __getitem__(self, name: str) -> Catalog:
+        return super().__getitem__(self.key(name))
+
+    def pop(self, name: str, *default):
+        return super().pop(self.key(name), *default)
+
+
 class Engine:
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.catalogs: dict[str, Catalog] = {}
+        self.catalogs = Catalogs()
         self.current: tuple[str, str] | None = None
         self.options: dict[str, bool] = {"unsafe_enable_version_guessing": True}
 
@@ -32,7 +48,7 @@ class Engine:
     def detach(self, name: str, missing_ok: bool = False) -> None:
         if self.catalogs.pop(name, None) is None and not missing_ok:
             raise NotFound(f"no catalog {name} is attached")
-        if self.current and self.current[0] == name:
+        if self.current and self.current[0].casefold() == name.casefold():
             self.current = None
 
     def attached(self) -> DataFrame:

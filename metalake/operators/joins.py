@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +22,17 @@ def asof_join(left: DataFrame, right: DataFrame, by: str, left_time: str, right_
     return rows.withColumn("_m", last).where("_row is not null").select("_row.*", *[F.col("_m")[v].alias(v) for v in values])
 
 
-def range_join(left: DataFrame, right: DataFrame, point: str, start: str, end: str, width: float) -> DataFrame:
-    """Pairs with start <= point < end: both sides are dealt to buckets of a width, so that only neighbours meet."""
-    bucket = lambda c: F.floor(F.col(c) / F.lit(width)).cast("long")
-    spread = right.where(F.col(start) < F.col(end)).withColumn("_b", F.explode(F.sequence(bucket(start), bucket(end))))
-    return left.withColumn("_b", bucket(point)).join(spread, "_b").where((F.col(start) <= F.col(point)) & (F.col(point) < F.col(end))).drop("_b")
+def range_join(left: DataFrame, right: DataFrame, point: str, start: str, end: str) -> DataFrame:
+    """Pairs with start <= point < end.
+
+    An interval is dealt to buckets as wide as the power of two below its length, of which it meets three at most; a point
+    is dealt to its bucket of each width that occurs. So wide intervals make no more rows than narrow ones, and only
+    neighbours meet. Rows with a null or an empty interval match nothing.
+    """
+    wide, at = f"_{uuid.uuid4().hex}", f"_{uuid.uuid4().hex}"
+    some = right.where(F.col(start) < F.col(end)).withColumn(wide, F.floor(F.log2((F.col(end) - F.col(start)).cast("double"))).cast("int"))
+    widths = sorted(r[0] for r in some.select(wide).distinct().collect())  # one for each power of two at most
+    bucket = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col(wide))).cast("long")
+    spread = some.withColumn(at, F.explode(F.sequence(bucket(start), bucket(end))))
+    points = left.withColumn(wide, F.explode(F.array(*map(F.lit, widths)).cast("array<int>"))).withColumn(at, bucket(point))
+    return points.join(spread, [wide, at]).where((F.col(start) <= F.col(point)) & (F.col(point) < F.col(end))).drop(wide, at)

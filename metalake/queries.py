@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,10 +10,11 @@ from pyspark.sql import functions as F
 
 from .fixtures import ensure, lake
 from .functions import formats, paths, types
-from .model import Format, TableMeta
+from .model import ColumnMeta, Format, NotImplementedInCatalog, TableMeta
 from .operators.joins import asof_join, range_join
-from .plans.ddl import create_table
+from .plans.ddl import CLASSES, create_table
 from .sources.metastore import parse_endpoint
+from .streaming.tables import table_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 _Q: dict[str, Query] = {}
@@ -86,6 +88,31 @@ _both("typeof_map", "select distinct typeof(o_orderkey) k, typeof(o_totalprice)
 _both("date_from_epoch", "select event_id, cast(date_from_unix_date(day) as string) d, cast(date_add(date_from_unix_date(day), 7) as string) next_week from hms.lake.events_avro", "select event_id, ts::date::varchar d, (ts::date + interval 7 day)::date::varchar next_week from events", "events_avro")
 _both("flagship_revenue", "select n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) revenue from hms.sf.lineitem join hms.sf.orders on l_orderkey = o_orderkey join hms.sf.customer on o_custkey = c_custkey join hms.sf.nation on c_nationkey = n_nationkey group by n_name")
 
+# ---------------------------------------------------------------- names, scalar functions, further clauses
+_both("filter_boolean_column", "select l_orderkey, l_linenumber from (select l_orderkey, l_linenumber, l_quantity > 25 as big from hms.sf.lineitem) t where big and not (l_linenumber = 1)")
+_both("join_right", "select n_name, count(s_suppkey) n from hms.sf.supplier right join hms.sf.nation on s_nationkey = n_nationkey and s_acctbal > 0 group by n_name")
+_both("set_intersect_all", "select c_nationkey k from hms.sf.customer intersect all select s_nationkey from hms.sf.supplier")
+_both("set_except_all", "select c_nationkey k from hms.sf.customer except all select s_nationkey from hms.sf.supplier")
+_both("set_union_all", "select n_regionkey k from hms.sf.nation union all select r_regionkey from hms.sf.region")
+_both("window_values", "select o_orderkey, lead(o_orderkey) over w nxt, first_value(o_orderkey) over w f, last_value(o_orderkey) over (partition by o_custkey order by o_orderkey rows between unbounded preceding and unbounded following) l, nth_value(o_orderkey, 2) over w s, round(percent_rank() over w, 6) pr, round(cume_dist() over w, 6) cd from hms.sf.orders window w as (partition by o_custkey order by o_orderkey)",
+      "select o_orderkey, lead(o_orderkey) over w nxt, first_value(o_orderkey) over w f, last_value(o_orderkey) over (partition by o_custkey order by o_orderkey rows between unbounded preceding and unbounded following) l, nth_value(o_orderkey, 2) over w s, round(percent_rank() over w, 6) pr, round(cume_dist() over w, 6) cd from orders window w as (partition by o_custkey order by o_orderkey)")
+_both("window_range_frame", "select s_suppkey, count(*) over (order by s_suppkey range between 5 preceding and 5 following) n from hms.sf.supplier")
+_both("scalar_strings", "select c_custkey, upper(c_name) u, substring(c_name, 1, 4) h, length(c_name) n, concat(c_mktsegment, '-', cast(c_nationkey as string)) j, replace(c_name, '#', '_') r, trim(concat('  ', c_mktsegment, ' ')) t, lpad(cast(c_nationkey as string), 4, '0') p from hms.sf.customer where c_name like '%1%'",
+      "select c_custkey, upper(c_name) u, substring(c_name, 1, 4) h, length(c_name)::int n, c_mktsegment || '-' || c_nationkey::varchar j, replace(c_name, '#', '_') r, trim('  ' || c_mktsegment || ' ') t, lpad(c_nationkey::varchar, 4, '0') p from customer where c_name like '%1%'")
+_both("scalar_arrays", "select n_nationkey, size(a) n, a[1] second, array_contains(a, 'x') has, array_join(a, '+') j from (select n_nationkey, split(concat(n_name, ',x,', cast(n_regionkey as string)), ',') a from hms.sf.nation) t",
+      "select n_nationkey, len(a)::int n, a[2] as second, list_contains(a, 'x') has, array_to_string(a, '+') j from (select n_nationkey, string_split(n_name || ',x,' || n_regionkey::varchar, ',') a from nation) t")
+_both("scalar_maps", "select n_nationkey, m['k'] k, m['none'] none, cardinality(m) n from (select n_nationkey, map('k', n_name, 'r', cast(n_regionkey as string)) m from hms.sf.nation) t",
+      "select n_nationkey, m['k'] k, m['none'] as none, cardinality(m)::int n from (select n_nationkey, map {'k': n_name, 'r': n_regionkey::varchar} m from nation) t")
+_both("scalar_json", "select n_nationkey, get_json_object(j, '$.name') n, cast(get_json_object(j, '$.at.region') as bigint) r from (select n_nationkey, to_json(named_struct('name', n_name, 'at', named_struct('region', n_regionkey))) j from hms.sf.nation) t",
+      "select n_nationkey, n_name n, n_regionkey::bigint r from nation")
+_both("date_interval", "select o_orderkey, cast(o_orderdate + interval 1 month as string) a, cast(cast(o_orderdate as date) - interval 10 day as string) b, date_trunc('month', o_orderdate) m from hms.sf.orders",
+      "select o_orderkey, (o_orderdate + interval 1 month)::varchar a, ((o_orderdate::date - interval 10 day)::date)::varchar b, date_trunc('month', o_orderdate)::timestamp m from orders")
+_both("agg_conditional", "select o_orderpriority, count(*) filter (where o_totalprice > 100000) big, cast(sum(case when o_orderstatus = 'F' then 1 else 0 end) as bigint) f, min_by(o_orderkey, o_orderkey) least from hms.sf.orders group by o_orderpriority", "select o_orderpriority, count(*) filter (where o_totalprice > 100000) big, sum(case when o_orderstatus = 'F' then 1 else 0 end)::bigint f, min(o_orderkey) least from orders group by o_orderpriority")
+_both("agg_approximate", "select abs(approx_count_distinct(o_custkey) - count(distinct o_custkey)) <= 0.1 * count(distinct o_custkey) close, abs(percentile_approx(o_orderkey, 0.5, 10000) - percentile(o_orderkey, 0.5)) <= 0.01 * max(o_orderkey) middle from hms.sf.orders", "select true as close, true as middle")
+_both("join_hints", "select /*+ MERGE(n), BROADCAST(r) */ r_name, count(*) n from hms.sf.nation n join hms.sf.region r on n.n_regionkey = r.r_regionkey join hms.sf.supplier s on s.s_nationkey = n.n_nationkey group by r_name", "select r_name, count(*) n from nation join region on n_regionkey = r_regionkey join supplier on s_nationkey = n_nationkey group by r_name")
+_both("cte_shadows_table", "with nation as (select 1 a union all select 2), r as (select count(*) n from hms.sf.nation) select nation.a, r.n, (select count(*) from nation) k from nation cross join r", "with local_nation as (select 1 a union all select 2), r as (select count(*) n from nation) select local_nation.a, r.n, (select count(*) from local_nation) k from local_nation cross join r")
+_both("names_any_case", "-- catalogs, schemas and tables\nselect HMS.SF.Nation.n_name, sf.nation.n_regionkey from Hms.\"sf\".NATION /* quoted */ where hms.sf.nation.n_nationkey > 3", "select n_name, n_regionkey from nation where n_nationkey > 3")
+
 
 # ---------------------------------------------------------------- metadata and operators
 def _query(oracle: str | None = None):
@@ -162,11 +189,81 @@ def join_asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(orders, engine.table("hms.sf.events").select("user_id", "ts", "event_id"), "user_id", "o_orderdate", "ts", ["event_id"]).select("o_orderkey", "event_id")
 
 
-@_query("select band, count(*) n from orders join (select p_partkey band, p_partkey * 500.0 lo, p_partkey * 500.0 + 700.0 hi from part where p_partkey <= 200) b on lo <= o_totalprice and o_totalprice < hi group by band")
+@_query("select band, count(*) n from orders join (select p_partkey band, p_partkey * 500.0 lo, p_partkey * 500.0 + 700.0 hi from part) b on lo <= o_totalprice and o_totalprice < hi group by band")
 def join_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     engine = lake(spark, sf_dir)
-    bands = engine.table("hms.sf.part").where("p_partkey <= 200").select(F.col("p_partkey").alias("band"), (F.col("p_partkey") * 500.0).alias("lo"), (F.col("p_partkey") * 500.0 + 700.0).alias("hi"))
-    return range_join(engine.table("hms.sf.orders"), bands, "o_totalprice", "lo", "hi", 700.0).groupBy("band").agg(F.count("*").alias("n"))
+    bands = engine.table("hms.sf.part").select(F.col("p_partkey").alias("band"), (F.col("p_partkey") * 500.0).alias("lo"), (F.col("p_partkey") * 500.0 + 700.0).alias("hi"))
+    return range_join(engine.table("hms.sf.orders"), bands, "o_totalprice", "lo", "hi").groupBy("band").agg(F.count("*").alias("n"))
+
+
+@_query("select distinct column_name, ordinal_position::int ordinal_position, data_type from information_schema.columns where table_name = 'nation'")
+def information_schema_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lake(spark, sf_dir).sql("select column_name, ordinal_position, data_type from information_schema.columns where table_catalog = 'hms' and table_schema = 'sf' and table_name = 'nation'")
+
+
+@_query("select p_partkey, p_retailprice * (1 - pct / 100) price from part join (values (1, 10.0::double), (2, 15.0::double), (3, 5.0::double)) d(id, pct) on p_partkey = d.id")
+def join_local_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A local table created, filled and joined with a catalogued one."""
+    engine, name = lake(spark, sf_dir), f"local_{uuid.uuid4().hex}"
+    engine.sql(f"create table {name} (id int, pct double) using parquet")
+    engine.sql(f"insert into {name} values (1, 10.0), (2, 15.0), (3, 5.0)")
+    rows = engine.sql(f"select p_partkey, p_retailprice * (1 - d.pct / 100) price from hms.sf.part join {name} d on p_partkey = d.id").collect()
+    engine.sql(f"drop table {name}")
+    return spark.createDataFrame(rows, "p_partkey bigint, price double")
+
+
+@_query("select * from (values ('made_by_statement', 'a', 'int'), ('made_by_statement', 'b', 'string'), ('made_by_statement', 'day', 'date')) t(name, column_name, type)")
+def create_table_statement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    engine = lake(spark, sf_dir)
+    catalog = engine.catalogs["hms"]
+    if not catalog.exists("lake", "made_by_statement"):
+        engine.sql(f"create table hms.lake.made_by_statement (a integer, b varchar, day date) partitioned by (day) with (location '{engine.root}/made_by_statement')")
+    m = catalog.store.table("lake", "made_by_statement")
+    return spark.createDataFrame([(m.name, c.name, c.type) for c in [*m.columns, *m.partition_keys]], "name string, column_name string, type string")
+
+
+_REFUSED = {
+    "insert": "insert into hms.sf.nation values (1, 'x', 1)", "update": "update hms.sf.nation set n_name = 'x'", "delete": "/* all */ delete from hms.sf.nation", "drop": "-- gone\ndrop table hms.sf.nation",
+    "alter": "alter table hms.sf.nation add column x int", "create view": "create view hms.sf.v as select 1", "create schema": "create schema hms.s", "create index": "create index i on hms.sf.nation (n_name)",
+    "create function": "create function hms.sf.f as 'x'", "create as": "create table hms.sf.t as select 1 a", "create or replace": "create or replace table hms.sf.t (a int)", "merge": "merge into hms.sf.nation using x on true when matched then delete",
+    "create table function": "create table function hms.sf.f as select 1", "create collation": "create collation hms.sf.c",
+}
+
+
+@_query(f"select * from (values {', '.join(f'({k!r})' for k in _REFUSED)}) t(statement)")
+def statements_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changes of attached catalogs that are refused by name."""
+    engine, refused = lake(spark, sf_dir), []
+    for kind, text in _REFUSED.items():
+        try:
+            engine.sql(text)
+        except NotImplementedInCatalog:
+            refused.append((kind,))
+    return spark.createDataFrame(refused, "statement string")
+
+
+@_query("select count(*)::bigint before, count(*)::bigint + 1 as after from region")
+def refresh_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose files change shows them after a refresh."""
+    engine, name = lake(spark, sf_dir), f"changing_{uuid.uuid4().hex}"
+    at = f"{engine.root}/{name}"
+    regions = engine.table("hms.sf.region")
+    regions.write.parquet(at)
+    engine.store.create_table(TableMeta(name, "lake", at, *CLASSES["parquet"], columns=(ColumnMeta("r_regionkey", "bigint"), ColumnMeta("r_name", "string"))))
+    before = engine.table(f"hms.lake.{name}").count()
+    regions.limit(1).write.mode("append").parquet(at)
+    after = engine.catalogs["hms"].refresh("lake", name).df().count()
+    engine.store.drop_table("lake", name)
+    return spark.createDataFrame([(before, after)], "before bigint, after bigint")
+
+
+@_query("select l_returnflag, count(*) n from lineitem group by l_returnflag")
+def stream_available_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogued table read as a stream, aggregated, and its last state as a table."""
+    engine, name = ensure(lake(spark, sf_dir), "lineitem_part"), f"stream_{uuid.uuid4().hex}"
+    counts = table_stream(engine, "hms.lake.lineitem_part").groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    counts.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", f"{engine.root}/{name}").trigger(availableNow=True).start().awaitTermination()
+    return spark.table(name)
 
 
 def queries() -> dict[str, Query]:

@@ -55,6 +55,34 @@ def test_statements(engine):
     assert conf.get("fs.s3a.bucket.b.access.key") == "k" and conf.get("fs.s3a.bucket.b.path.style.access") == "true"
 
 
+def test_names(engine, spark):
+    """What WITH binds hides tables, where it does; views last no longer than a query's analysis."""
+    engine.current = ("hms", "sf")
+    try:
+        one = lambda text: [tuple(r) for r in engine.sql(text).collect()]
+        assert one("with nation as (select 1 a) select * from nation") == [(1,)]
+        assert one("with x as (select count(*) n from nation), nation as (select n + 1 n from x) select nation.n, x.n from nation, x") == [(26, 25)]
+        assert one("select * from (with nation as (select 1 a) select * from nation) t, (select count(*) from nation) u") == [(1, 25)]
+        assert one("select count(*) from nation where n_regionkey in (with nation as (select 1 a) select a from nation)") == [(5,)]
+        assert one("with recursive nation(a) as (select 1 union all select a + 1 from nation where a < 3) select max(a) from nation") == [(3,)]
+        assert one("select 'hms.sf.\"x\" -- no comment' from HMS.SF.nation limit 1") == [('hms.sf."x" -- no comment',)]
+        assert one("select sf.nation.n_name, hms.sf.nation.* from nation where sf.nation.n_nationkey = 3")[0][1] == 3
+    finally:
+        engine.current = None
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("_metalake_")]
+    with pytest.raises(NotFound):
+        engine.sql("select 1 where exists (select 1 from HMS.sf.nothing)")
+
+
+def test_range_join(spark):
+    from metalake.operators.joins import range_join
+
+    spans = [(0, 0.0, 1e9), (1, 5.0, 5.5), (2, 5.5, 5.0), (3, -100.0, 7.0), (4, None, 3.0), (5, 1e6, 1e6 + 1e-3), (6, 7.0, 7.0)]
+    points = [(i, float(p)) for i, p in enumerate([-101, -100, 0, 5, 5.25, 5.5, 6.99, 7, 1e6, 1e6 + 1e-3, 1e9])] + [(99, None)]
+    got = range_join(spark.createDataFrame(points, "p int, x double"), spark.createDataFrame(spans, "s int, lo double, hi double"), "x", "lo", "hi")
+    assert sorted((r["p"], r["s"]) for r in got.collect()) == sorted((p, s) for p, x in points for s, lo, hi in spans if None not in (x, lo) and lo <= x < hi)
+
+
 def test_attach(spark):
     e = Engine(spark)
     e.sql("attach 'thrift://127.0.0.1:1' as far (type hive_metastore, default_schema 'x', READ_ONLY)")  # no connection yet
