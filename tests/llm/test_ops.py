@@ -474,24 +474,56 @@ def test_pipeline_near_copies(spark):
     assert sorted(map(tuple, got), key=str) == sorted([rows[i] for i in (0, 1, 2, 4, 6)], key=str)
 
 
+def nearest(rows, chosen, k=10):
+    """Each chosen row's k nearest rows by brute force: {(query, copy): [(vec_id, distance)]}."""
+    rows = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out, copies = {}, defaultdict(int)
+    for at, (i, v) in enumerate(rows):
+        if chosen(i):
+            d = sorted((float(np.sqrt(((w - v) ** 2).sum())), j) for other, (j, w) in enumerate(rows) if other != at and len(w) == len(v))
+            out[i, copies[i]] = [(j, x) for x, j in d[:k]]
+            copies[i] += 1
+    return out
+
+
 def test_ann(spark):
     r = np.random.default_rng(1)
     x = r.normal(size=(1500, 16)).astype(np.float32)
     x[700:1200] = x[700]  # a third are the same
-    rows = [(i, v.tolist(), "q") for i, v in enumerate(x)] + [(2000, None, "q"), (2100, [0.0] * 16, "q"), (2200, [float("nan")] * 16, "q"), (2300, [None] * 16, "q"), (2400, [1.0], "q"), (None, [1.0] * 16, "q")]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000, None), (2100, [0.0] * 16), (2200, [float("nan")] * 16), (2300, [None] * 16), (2400, [1.0]), (2500, [2.0]), (2401, [-0.0, 1.0]), (2600, [0.0, 1.0]), (None, [1.0] * 16)]
+    rows += [(300, x[300].tolist()), (300, x[300].tolist()), (400, x[5].tolist()), (401, x[400].tolist())]  # repeated ids, with the same vector or another
+    frame = spark.createDataFrame([(i, v, "q", 1) for i, v in rows], "vec_id long, embedding array<float>, rank string, c int").repartition(5)
     got = defaultdict(list)
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, rank string")
-    for a in ann.search(frame, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
-        got[a["query_id"]].append((a["vec_id"], a["score"]))
-    assert sorted(got) == list(range(0, 1500, 100))
-    hit = 0
-    y = x.astype(float)
-    for q, found in got.items():
-        d = np.sqrt(((y - y[q]) ** 2).sum(axis=1))
-        want = [i for i in np.lexsort((np.arange(1500), d)) if i != q][:10]
-        hit += len({i for i, _ in found} & set(want))
-        assert all(abs(d[i] - s) < 1e-9 for i, s in found)
-        if 700 <= q < 1200:
-            assert [i for i, _ in found] == want
-    assert hit / (10 * len(got)) >= 0.9
+    for a in ann.search(frame, F.col("vec_id") % 100 == 0, short=150).collect():
+        got[a["query_id"]].append((a["rank"], a["vec_id"], a["score"]))
+    want = nearest(rows, lambda i: i % 100 == 0)
+    assert set(got) == {i for i, _ in want} and len(got[2400]) == 1 and got[2600] == [(1, 2401, 0.0)]
+    hit = total = 0
+    for i in got:
+        lists = [w for (q, _), w in want.items() if q == i]
+        assert len(got[i]) == sum(map(len, lists))
+        exact = sorted((rank, j, s) for w in lists for rank, (j, s) in enumerate(w, 1))
+        near = sorted(got[i])
+        hit += sum(a[:2] == b[:2] for a, b in zip(near, exact, strict=True))
+        total += len(exact)
+        if 700 <= i < 1200 or i in (300, 2400, 2500, 2600):
+            assert [a[:2] for a in near] == [b[:2] for b in exact] and all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(near, exact, strict=True))
+    assert hit / total >= 0.9  # a shortlist of 150 of about 1000 different vectors, in all the index
     assert ann.search(frame.where("false"), F.col("vec_id") % 100 == 0).count() == 0
+    assert ann.search(frame, F.col("vec_id") < 0).count() == 0
+
+
+def test_ann_blocks_spread():
+    for groups in (8, 12, 64):
+        for blocks in (np.arange(1, 2049), np.arange(1, 2049) << 24):
+            dealt = np.bincount(ann.group_of(blocks, groups), minlength=groups)
+            assert dealt.max() < 2 * 2048 / groups and dealt.min() > 0.4 * 2048 / groups
+
+
+def test_ann_shortlist_is_the_best_of_all_blocks():
+    r = np.random.default_rng(2)
+    score, least, c = r.integers(0, 9, (20, 300)).astype(np.float32), r.integers(0, 40, 300), np.arange(300)
+    for short in (1, 10, 299, 300, 400):
+        got = ann.best(score, least, c, short)
+        for row, s in zip(got, score, strict=True):
+            assert row.tolist() == sorted(range(300), key=lambda i: (s[i], least[i], i))[:short]
