@@ -30,30 +30,33 @@ from pyspark.sql import functions as F
 
 from .common import U64, materialize, mix64, partitions, release, thrifty
 
-BOOKS, WORDS, BEAM = 16, 128, 4
+BOOKS, WORDS, BEAM = 32, 256, 4
 SAMPLE, ROUNDS = 4096, 5
 VECTORS, QUERIES = 8192, 512  # in a block
 SHORT = 256
 
 
+def extend(left: np.ndarray, codes: np.ndarray, book: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
+    """What the `beam` best partial sums with one more codeword leave of each vector, best first, and their codes."""
+    cost = (left**2).sum(axis=2)[:, :, None] - 2 * left @ book.T + (book**2).sum(axis=1)[None, None, :]
+    flat = cost.reshape(len(left), -1)
+    k = min(beam, flat.shape[1])
+    best = np.argpartition(flat, k - 1, axis=1)[:, :k]
+    best = np.take_along_axis(best, np.argsort(np.take_along_axis(flat, best, 1), axis=1, kind="stable"), 1)
+    parent, word = best // len(book), best % len(book)
+    left = np.take_along_axis(left, parent[:, :, None], 1) - book[word]
+    return left, np.concatenate((np.take_along_axis(codes, parent[:, :, None], 1), word[:, :, None].astype(np.uint8)), axis=2)
+
+
 @dataclass
 class Quantizer:
     books: np.ndarray  # BOOKS x WORDS x dimensions
 
     def encode(self, x: np.ndarray, beam: int = BEAM) -> np.ndarray:
         """Codes of vectors, by a search that keeps the `beam` best partial sums."""
-        n = len(x)
-        left = x[:, None, :].astype(np.float32)  # what each partial sum leaves
-        codes = np.zeros((n, 1, 0), dtype=np.uint8)
+        left, codes = x[:, None, :].astype(np.float32), np.zeros((len(x), 1, 0), dtype=np.uint8)
         for book in self.books:
-            cost = (left**2).sum(axis=2)[:, :, None] - 2 * left @ book.T + (book**2).sum(axis=1)[None, None, :]
-            flat = cost.reshape(n, -1)
-            k = min(beam, flat.shape[1])
-            best = np.argpartition(flat, k - 1, axis=1)[:, :k]
-            best = np.take_along_axis(best, np.argsort(np.take_along_axis(flat, best, 1), axis=1, kind="stable"), 1)
-            parent, word = best // len(book), best % len(book)
-            left = np.take_along_axis(left, parent[:, :, None], 1) - book[word]
-            codes = np.concatenate((np.take_along_axis(codes, parent[:, :, None], 1), word[:, :, None].astype(np.uint8)), axis=2)
+            left, codes = extend(left, codes, book, beam)
         return codes[:, 0, :]
 
     def decode(self, codes: np.ndarray) -> np.ndarray:
@@ -61,20 +64,19 @@ class Quantizer:
 
 
 def train(x: np.ndarray, books: int = BOOKS, words: int = WORDS, seed: int = 1) -> Quantizer:
-    """Codebooks by k-means on what the earlier ones leave; the sums are then those of the beam search."""
+    """Codebooks by k-means on what the beam search leaves with the earlier ones."""
     rng = np.random.default_rng(seed)
-    x = x.astype(np.float32)
-    left, made = x.copy(), []
+    left, codes, made = x[:, None, :].astype(np.float32), np.zeros((len(x), 1, 0), dtype=np.uint8), []
     for _ in range(books):
-        k = min(words, len(left))
-        book = left[rng.choice(len(left), k, replace=False)].copy()
+        rest, k = left[:, 0], min(words, len(x))
+        book = rest[rng.choice(len(x), k, replace=False)].copy()
         for _ in range(ROUNDS):
-            near = np.argmin((book**2).sum(axis=1)[None, :] - 2 * left @ book.T, axis=1)
+            near = np.argmin((book**2).sum(axis=1)[None, :] - 2 * rest @ book.T, axis=1)
             order = np.argsort(near, kind="stable")
             got, at = np.unique(near[order], return_index=True)
-            book[got] = np.add.reduceat(left[order], at, axis=0) / np.bincount(near, minlength=k)[got][:, None]
+            book[got] = np.add.reduceat(rest[order], at, axis=0) / np.bincount(near, minlength=k)[got][:, None]
         made.append(np.concatenate((book, np.zeros((words - k, x.shape[1]), np.float32))))
-        left = x - Quantizer(np.array(made)).decode(Quantizer(np.array(made)).encode(x))
+        left, codes = extend(left, codes, made[-1], BEAM)
     return Quantizer(np.array(made))
 
 
