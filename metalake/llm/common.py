@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -18,12 +19,18 @@ M_MMAP_THRESHOLD, M_TRIM_THRESHOLD = -3, -1  # of mallopt
 
 # ---------------------------------------------------------------- storage
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, one of this process's own if the executors are in it, else an error."""
     path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="metalake-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if path:
+        return path.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return _own_dir()
+
+
+@functools.cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="metalake-")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -85,6 +92,17 @@ def open_fs(uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as make it none of df's columns."""
+    have, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in have:
+            n += "_"
+        out.append(n)
+        have.add(n.lower())
+    return out
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -193,9 +211,10 @@ def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
 # ---------------------------------------------------------------- salted joins
 def attach_minimum(df: DataFrame, small: DataFrame, keys: list[str], spread: str, salts: int = 16) -> DataFrame:
     """df left-joined with small (one row for each key), the rows of a hot key dealt over `salts` tasks by the column `spread`."""
-    left = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts).cast("long")))
-    right = small.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
-    return left.join(right, [*keys, "_salt"], "left").drop("_salt")
+    salt = unused(df.select(*df.columns, *[F.lit(0).alias(c) for c in small.columns if c not in df.columns]), "_salt")[0]
+    left = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts).cast("long")))
+    right = small.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+    return left.join(right, [*keys, salt], "left").drop(salt)
 
 
 # ---------------------------------------------------------------- components

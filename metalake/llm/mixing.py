@@ -10,23 +10,26 @@ The classifier is fitted on a bounded sample of about `SAMPLE` labelled document
 
 Null and empty texts have no words: their posterior is the prior, their rate weighs nothing, and copies is the rate's as of
 any other. Labels that are null are left out; without labels there is one domain, `all`. A domain without a target
-has target 0, a target over 0 without a domain is an error. Repeated rows each get the same rate. Further columns are kept, but for those named like the
+has target 0, a target over 0 without a domain is an error. Targets that aren't met after `STEPS` steps, as no rates may meet them, are logged
+as a warning with what is missing. Repeated rows each get the same rate, and count once where the classifier is fitted; of several texts of one doc_id, the least counts there. Further columns are kept, but for those named like the
 new ones, which are replaced. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, unused
 
 BITS, SAMPLE = 12, 6000
 SHARP, SMOOTH = 12.0, 0.5
-STEPS, CLOSE = 12, 1e-4
+STEPS, CLOSE = 24, 1e-4
+log = logging.getLogger(__name__)
 NEW = ("posterior", "words", "rate", "copies")
 
 
@@ -39,14 +42,15 @@ def _words(docs: DataFrame, *keep: str) -> DataFrame:
 
 def classifier(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[float], list[list[float]]]:
     """Domains, log priors and, for each domain, log likelihoods by slot, from labelled (doc_id, domain) of docs (doc_id, text)."""
-    rows = labelled.where("doc_id is not null and domain is not null").select("doc_id", F.col("domain").cast("string").alias("domain"))
+    rows = labelled.where("doc_id is not null and domain is not null").select("doc_id", F.col("domain").cast("string").alias("domain")).distinct()
     count = {r["domain"]: r["n"] for r in rows.groupBy("domain").agg(F.count("*").alias("n")).collect()}
     if not count:
         return ["all"], [0.0], [[0.0] * (1 << BITS)]
     total, domains = sum(count.values()), sorted(count)
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30).cast("long")) < min(1 << 30, (SAMPLE << 30) // total)
     sample = rows.where(draw).where(F.col("domain").isin(domains)).dropDuplicates(["doc_id"])  # about SAMPLE rows at most
-    words = _words(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id"), "domain").where("slot is not null")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(sample), "doc_id").groupBy("doc_id", "domain").agg(F.min("text").alias("text"))  # one row each, however often it comes
+    words = _words(texts, "domain").where("slot is not null")
     seen = {d: [SMOOTH] * (1 << BITS) for d in domains}
     for r in words.groupBy("domain", "slot").count().collect():  # 2^BITS rows a domain at most
         seen[r["domain"]][r["slot"] - 1] += r["count"]
@@ -110,6 +114,8 @@ def fit_rates(scored: DataFrame, targets: list[float], least: float = 0.0) -> Co
             break
         step = _solve(overlap, off)
         rate = F.greatest(F.lit(least), rate - sum((F.lit(s) * p[k] for k, s in enumerate(step)), F.lit(0.0)))
+    else:
+        log.warning("the targets were not met in %d steps: shares off by %s; no rates may meet them", STEPS, [round(x, 5) for x in off])
     return rate
 
 
@@ -149,11 +155,13 @@ def rates(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | str,
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | str, total: float | None = None, least: float = 0.0) -> DataFrame:
     """docs with words, posterior, rate and copies; see rates."""
-    found = rates(docs.select("doc_id", "text"), labelled, weights, total, least).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), *NEW)
     own = docs.drop(*NEW)
-    return own.join(found, own.doc_id.eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce(own.text, F.lit(""))) == F.col("_key"))).drop("_id", "_key")
+    doc, key = unused(own, "doc", "key")
+    found = rates(docs.select("doc_id", "text"), labelled, weights, total, least).select(F.col("doc_id").alias(doc), F.col("text_key").alias(key), *NEW)
+    return own.join(found, own.doc_id.eqNullSafe(F.col(doc)) & (F.xxhash64(F.coalesce(own.text, F.lit(""))) == F.col(key))).drop(doc, key)
 
 
 def repeat(mixed: DataFrame) -> DataFrame:
     """Each row as often as its copies say, without the columns of the mixing."""
-    return mixed.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("_copy", *NEW)
+    copy = unused(mixed, "copy")[0]
+    return mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop(copy, *NEW)

@@ -9,7 +9,8 @@ hashed where the documents are, and the driver gets the hashes alone. Three quar
 
 Null and empty texts have no words and get whatever the measures say of an empty text: grade as of no evidence, not kept.
 Ratings that are null, or whose document isn't there, are left out; without any rating all documents are kept with grade 2.
-Repeated rows and further columns change nothing; an empty table gives an empty result.
+Repeated rows and further columns change nothing (of several texts of one doc_id, one counts in the fit); an empty table gives an empty result.
+Regularisation: a ridge, and words whose documents' grades differ from the rest by less than `SURE` standard errors keep the weight 0.
 """
 
 from __future__ import annotations
@@ -128,6 +129,24 @@ def _telling(slots: np.ndarray, graded: np.ndarray, grades: np.ndarray) -> np.nd
     return out
 
 
+def loss(p: np.ndarray, slots: np.ndarray, starts: np.ndarray, x: np.ndarray, grades: np.ndarray, weight: np.ndarray) -> tuple[float, np.ndarray]:
+    """The weighted negative log likelihood with its ridge, and its gradient, at p: word weights, measure weights, lower threshold, log of the gap to the upper."""
+    d, n = len(p) - x.shape[1] - 2, len(grades)
+    own = p[: d + x.shape[1]]
+    z = _sums(p[slots], starts) + x @ p[d : d + x.shape[1]]
+    lo, hi = p[-2], p[-2] + np.exp(p[-1])
+    with np.errstate(over="ignore"):
+        s0, s1 = 1 / (1 + np.exp(z - lo)), 1 / (1 + np.exp(z - hi))  # P(<= 0), P(<= 1)
+    like = np.choose(grades, [s0, s1 - s0, 1 - s1]).clip(1e-9)
+    d0, d1 = s0 * (1 - s0), s1 * (1 - s1)
+    g0 = np.choose(grades, [d0, -d0, np.zeros(n)]) / like * weight  # of the log likelihood by the lower threshold
+    g1 = np.choose(grades, [np.zeros(n), d1, -d1]) / like * weight
+    gz = g0 + g1  # the score enters both with the opposite sign
+    grad = np.concatenate((np.bincount(slots, weights=np.repeat(gz, np.diff(starts)), minlength=d), x.T @ gz, [-gz.sum(), -(g1 * np.exp(p[-1])).sum()]))
+    grad[: len(own)] += RIDGE * own / 10
+    return float(RIDGE * (own @ own) / 20 - (weight * np.log(like)).sum()), grad
+
+
 def _weights(rated: Features, grades: np.ndarray) -> Model:
     slots, starts, m = rated
     mean, scale = m.mean(axis=0), m.std(axis=0) + 1e-6
@@ -148,17 +167,7 @@ def _weights(rated: Features, grades: np.ndarray) -> Model:
     p = np.concatenate((np.zeros(d), np.zeros(_MEASURES), [a, gap]))
     first, second = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, STEPS + 1):
-        z = _sums(p[slots], starts) + x @ p[d : d + _MEASURES]
-        lo, hi = p[-2], p[-2] + np.exp(p[-1])
-        with np.errstate(over="ignore"):
-            s0, s1 = 1 / (1 + np.exp(z - lo)), 1 / (1 + np.exp(z - hi))  # P(<= 0), P(<= 1)
-        like = np.choose(grades, [s0, s1 - s0, 1 - s1]).clip(1e-9)
-        d0, d1 = s0 * (1 - s0), s1 * (1 - s1)
-        g0 = np.choose(grades, [d0, -d0, np.zeros(n)]) / like * weight  # of the log likelihood by the lower threshold
-        g1 = np.choose(grades, [np.zeros(n), d1, -d1]) / like * weight
-        gz = g0 + g1  # the score enters both with the opposite sign
-        grad = np.concatenate((np.bincount(slots, weights=gz[owner], minlength=d), x.T @ gz, [-(g0 + g1).sum(), -(g1 * np.exp(p[-1])).sum()]))
-        grad[: d + _MEASURES] += RIDGE * p[: d + _MEASURES] / 10
+        grad = loss(p, slots, starts, x, grades, weight)[1]
         first += 0.1 * (grad - first)
         second += 0.01 * (grad * grad - second)
         p -= RATE * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-7)
@@ -184,7 +193,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
                 yield pa.RecordBatch.from_arrays([b.column(0)[i:j], b.column(2)[i:j], pa.array(words, pa.binary()), pa.array([x.tobytes() for x in m], pa.binary())], ["doc_id", "grade", "slots", "measures"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(drawn), "doc_id")  # about SAMPLE rows at most
-    sample = materialize(rows.mapInArrow(thrifty(run), "doc_id long, grade int, slots binary, measures binary"), "quality-sample")
+    hashed = rows.mapInArrow(thrifty(run), "doc_id long, grade int, slots binary, measures binary")
+    sample = materialize(hashed.groupBy("doc_id").agg(F.min(F.struct("grade", "slots", "measures")).alias("r")).select("doc_id", "r.*"), "quality-sample")  # a row an id, however often it comes
     taken = sorted((r[0], r[1], bytes(r[2]), bytes(r[3])) for r in sample.toLocalIterator())
     release(sample)
     if not taken:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64, multipliers, pack, partitions, release, thrifty, unpack, utf8
+from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64, multipliers, pack, partitions, thrifty, unpack, unused, utf8
 
 DEPTH, GRAM = 100, 24
 AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
@@ -438,18 +438,20 @@ def digest(docs: DataFrame) -> DataFrame:
             cols = list(zip(*out, strict=True)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.string() if k == 4 else pa.int64()) for k, c in enumerate(cols)], [x.split()[0] for x in schema.split(", ")])
 
-    return _joined(docs.select("doc_id", "text")).select(F.col("doc_id").cast("long").alias("doc_id"), "text", "_spans").mapInArrow(thrifty(run), schema)
+    both, spans = _joined(docs.select("doc_id", "text"))
+    return both.select(F.col("doc_id").cast("long").alias("doc_id"), "text", spans).mapInArrow(thrifty(run), schema)
 
 
-def _joined(docs: DataFrame) -> DataFrame:
-    found = repeated_spans(docs).withColumnRenamed("spans", "_spans")
-    return docs.join(found, docs.doc_id.cast("long") == found.doc, "left").drop("doc")
+def _joined(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with their spans, in a column of the name that comes with it."""
+    doc, spans = unused(docs, "doc", "spans")
+    found = repeated_spans(docs).select(F.col("doc").alias(doc), F.col("spans").alias(spans))
+    return docs.join(found, F.col("doc_id").cast("long") == F.col(doc), "left").drop(doc), spans
 
 
 def strip(docs: DataFrame) -> DataFrame:
     """docs with the repeated bytes taken out of text (characters cut in two go whole), n_chars, if there, set anew, and without the documents of which nothing but white space is left."""
-    own = docs.drop("_spans")
-    at = own.columns.index("text")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -459,5 +461,6 @@ def strip(docs: DataFrame) -> DataFrame:
             columns = [*b.columns[:at], new, *b.columns[at + 1 : -1]]
             yield pa.RecordBatch.from_arrays(columns, b.schema.names[:-1])
 
-    out = _joined(own).select(*own.columns, "_spans").mapInArrow(thrifty(run), own.schema).where(F.length(F.regexp_replace("text", r"\s+", "")) > 0)
-    return out.withColumn("n_chars", F.length("text").cast(own.schema["n_chars"].dataType)) if "n_chars" in own.columns else out
+    both, spans = _joined(docs)
+    out = both.select(*docs.columns, spans).mapInArrow(thrifty(run), docs.schema).where(F.length(F.regexp_replace("text", r"\s+", "")) > 0)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out

@@ -435,6 +435,74 @@ def test_quality(spark, docs, empty):
     assert quality.fit(docs, df.select("doc_id", "quality", "toxic").where("false")) is None and quality.grade(docs, None).where("keep").count() == len(corpus())
 
 
+def test_quality_gradient():
+    r = np.random.default_rng(3)
+    starts = np.concatenate(([0], np.cumsum(r.integers(0, 6, 40))))
+    slots, x, grades, weight = r.integers(0, 9, int(starts[-1])), r.normal(size=(40, 3)), r.integers(0, 3, 40), r.random(40)
+    p = np.concatenate((r.normal(size=12) / 2, [-0.7, 0.2]))
+    value, grad = quality.loss(p, slots, starts, x, grades, weight)
+    z = np.array([p[slots[a:b]].sum() for a, b in itertools.pairwise(starts)]) + x @ p[9:12]
+    s0, s1 = 1 / (1 + np.exp(z - p[12])), 1 / (1 + np.exp(z - p[12] - np.exp(p[13])))
+    by_hand = -sum(w * np.log([a, b - a, 1 - b][g]) for w, a, b, g in zip(weight, s0, s1, grades, strict=True)) + quality.RIDGE * (p[:12] ** 2).sum() / 20
+    assert abs(value - by_hand) < 1e-9
+    for k in range(len(p)):
+        step = np.zeros(len(p))
+        step[k] = 1e-6
+        up, down = (quality.loss(p + s, slots, starts, x, grades, weight)[0] for s in (step, -step))
+        assert abs((up - down) / 2e-6 - grad[k]) < 1e-5
+
+
+def test_quality_repeated_rows(spark):
+    """A document that comes 400 times counts once."""
+    r = random.Random(7)
+    rows = [(i, " ".join(r.choice(["good", "words", "here", "again"] if i % 2 else ["%%", "bad", "stuff", "here"]) for _ in range(30)), i % 2, 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int, toxic int")
+    labels = df.select("doc_id", "quality", "toxic")
+    once = quality.fit(df, labels)
+    often = quality.fit(df.union(spark.createDataFrame([rows[3]] * 400, df.schema)), labels.union(labels))
+    assert np.array_equal(once.thresholds, often.thresholds) and np.array_equal(once.weights, often.weights) and once.least == often.least
+
+
+def test_mixing_against_numpy(spark):
+    """Posteriors and rates are those of naive Bayes and projected gradient descent written anew."""
+    r = random.Random(12)
+    rows = [(i, " ".join(r.choice(["ab", "cd", "ef"] if i % 3 else ["ab", "xy", "zw"]) for _ in range(r.randrange(0, 30))), "p" if i % 3 else "q") for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labelled = df.where("doc_id % 2 = 0").select("doc_id", F.col("lang").alias("domain"))
+    again = labelled.union(labelled.where("doc_id < 10"))
+    names, priors, logs = mixing.classifier(df.union(df.where("doc_id = 4")), again)
+    assert (names, priors, logs) == mixing.classifier(df, labelled)
+    slot = {w: (x - 1) for w, x in spark.createDataFrame([(w,) for w in ("ab", "cd", "ef", "xy", "zw")], "w string").select("w", F.pmod(F.xxhash64("w"), F.lit(1 << mixing.BITS).cast("long")) + 1).collect()}
+    count = np.full((2, 1 << mixing.BITS), mixing.SMOOTH)
+    for i, t, lang in rows[::2]:
+        for w in t.split():
+            count[names.index(lang), slot[w]] += 1
+    assert np.allclose(np.log(count / count.sum(axis=1, keepdims=True)), logs)
+    words = np.array([len(t.split()) for _, t, _ in rows], float)
+    mean = np.array([[sum(round(logs[k][slot[w]], 5) for w in t.split()) / max(1, len(t.split())) for k in (0, 1)] for _, t, _ in rows])
+    odds = np.exp(np.array(priors) + mixing.SHARP * mean)
+    post = odds / odds.sum(axis=1, keepdims=True)
+    targets, rate = np.array([0.3, 0.7]) * words.sum(), np.ones(150)
+    overlap = (post * words[:, None]).T @ post / words.sum() + 1e-6 * np.eye(2)
+    for _ in range(mixing.STEPS):
+        off = (post.T @ (words * rate) - targets) / words.sum()
+        if np.abs(off).max() < mixing.CLOSE:
+            break
+        rate = np.maximum(0, rate - post @ np.linalg.solve(overlap, off))
+    got = {x["doc_id"]: x for x in mixing.mix(df, labelled, {"p": 3.0, "q": 7.0}).collect()}
+    assert all(np.allclose(got[i]["posterior"], post[i], atol=1e-6) and abs(got[i]["rate"] - rate[i]) < 1e-5 for i in range(150))
+    assert min(rate) < 1 < max(rate)
+
+
+def test_columns_that_clash(spark):
+    names = ["doc", "_spans", "spans", "_id", "_key", "key", "_copy", "copy", "_salt", "n", "q", "c"]
+    df = spark.createDataFrame([(1, "some text of words " * 20, *["x"] * 12), (2, "some text of words " * 20, *["y"] * 12), (3, None, *[None] * 12)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    left = suffix_dedup.strip(df)
+    assert left.columns == df.columns and left.count() == 1
+    mixed = mixing.repeat(mixing.mix(df, df.select("doc_id", F.lit("a").alias("domain")), "even", least=1.0))
+    assert mixed.columns == df.columns and mixed.count() == 3
+
+
 def test_mixing(spark, docs, empty):
     r = random.Random(4)
     make = lambda p, n: " ".join(f"{p}{r.randrange(50)}" for _ in range(n))
