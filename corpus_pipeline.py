@@ -1,6 +1,8 @@
 """From raw documents to packed sequences: grade, drop near copies, cut repeated passages, mix languages, pack.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each stage's rows and reads them again for the next.
+All but the last return the columns of docs, whatever others there are. Null and empty texts are graded and go there as no evidence of quality, unless nothing is
+rated; rows without doc_id are graded, and linked with nothing. Of rows with one doc_id and text, one stays; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,13 +33,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Languages nearer to each other (the square roots of their shares), by copies alone: the least rate is 1, so nothing goes."""
+    """Languages nearer to each other (the square roots of their shares) in as many words: rates below 1 leave documents out, others repeat them."""
     labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(read_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    return mixing.repeat(mixing.mix(docs, labelled, "root", least=1.0)).select(*docs.columns)
+    return mixing.repeat(mixing.mix(docs, labelled, "root")).select(*docs.columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 ids in full sequences."""
+    """Pieces of at most 1024 ids in full sequences; copies that the mixture made go to different ones."""
     return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
