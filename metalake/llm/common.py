@@ -103,6 +103,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def set_aside(df: DataFrame, *used: str) -> DataFrame:
+    """df with its columns but the used ones renamed by their place, so that none is named like one that an operator makes."""
+    return df.toDF(*[n if n in used else f"own{i}__" for i, n in enumerate(df.columns)])
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

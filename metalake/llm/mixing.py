@@ -24,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, unused
+from .common import materialize, set_aside, unused
 
 BITS, SAMPLE = 12, 6000
 SHARP, SMOOTH = 12.0, 0.5
@@ -165,3 +165,9 @@ def repeat(mixed: DataFrame) -> DataFrame:
     """Each row as often as its copies say, without the columns of the mixing."""
     copy = unused(mixed, "copy")[0]
     return mixed.where("copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop(copy, *NEW)
+
+
+def mixture(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | str, total: float | None = None, least: float = 0.0) -> DataFrame:
+    """The rows of docs as often as their copies say, with docs' own columns."""
+    own = set_aside(docs, "doc_id", "text")
+    return repeat(mix(own, labelled, weights, total, least)).select(*own.columns).toDF(*docs.columns)

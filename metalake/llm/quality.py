@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, chunks, materialize, release, thrifty, utf8, word_hashes
+from .common import U64, chunks, materialize, release, set_aside, thrifty, utf8, word_hashes
 
 BITS = 18
 SAMPLE = 8_000
@@ -224,3 +224,9 @@ def grade(docs: DataFrame, model: Model | None) -> DataFrame:
     from pyspark.sql import types as T
 
     return own.mapInArrow(thrifty(run), T.StructType([*own.schema.fields, *T._parse_datatype_string(SCHEMA).fields]))
+
+
+def kept(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs that the model keeps, with docs' own columns."""
+    own = set_aside(docs, "text")
+    return grade(own, model).where("keep").select(*own.columns).toDF(*docs.columns)

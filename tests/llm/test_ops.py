@@ -542,6 +542,88 @@ def test_pipeline_near_copies(spark):
     assert sorted(map(tuple, got), key=str) == sorted([rows[i] for i in (0, 1, 2, 4, 6)], key=str)
 
 
+def stage_rows():
+    """Documents with labels; copies, near copies, a shared passage, repeated rows, nulls, and columns named like those that the stages make."""
+    r = random.Random(21)
+    vocab = {"en": [f"e{i}w" for i in range(300)], "fr": [f"f{i}m" for i in range(300)]}
+    prose = lambda lang, n: " ".join(r.choice(vocab[lang]) for _ in range(n))
+    passage = prose("en", 70)
+    rows = [(i, prose("en" if i % 4 else "fr", 60), "en" if i % 4 else "fr") for i in range(240)]
+    rows += [(300 + i, "%% spam || " + prose("en", 3) + " @@##" * 30, "en") for i in range(80)]
+    rows += [(400 + i, prose("en", 40) + " " + passage + " " + prose("en", 40), "en") for i in range(6)]
+    rows += [(500, rows[1][1], "en"), (501, rows[1][1] + " tail", "en"), (2, rows[2][1], "en"), (2, prose("en", 60), "en"), (600, None, "en"), (601, "", None), (None, rows[3][1], "en"), (None, prose("en", 50), None)]
+    return rows
+
+
+@pytest.fixture(scope="module")
+def staged(spark, tmp_path_factory):
+    """(documents, folder of a labels table)"""
+    at = str(tmp_path_factory.mktemp("stages"))
+    marks = [(i, 0 if 300 <= (i or 0) < 400 else 1, 0) for i, _, _ in stage_rows() if i is not None and i < 400] + [(None, 1, 0), (5, None, 0), (9999, 1, 1)]
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{at}/labels.parquet")
+    schema = "doc_id long, text string, lang string, n_chars long, keep string, rate string, component_id int, spans string, copy string"
+    docs = spark.createDataFrame([(i, t, lang, len(t or ""), "k", "r", 1, "s", "c") for i, t, lang in stage_rows()], schema)
+    docs.coalesce(2).write.parquet(f"{at}/documents.parquet")
+    return docs, at
+
+
+def test_stages(spark, staged):
+    import corpus_pipeline as pipeline
+
+    docs, at = staged
+    (_, grade), (_, near), (_, cut), (_, mix), (_, pack) = pipeline.STAGES
+    rows = [(i, t) for i, t, _ in stage_rows()]
+    # quality: junk goes, clean documents stay, and the model's keep decides
+    kept = grade(spark, docs, at)
+    assert kept.columns == docs.columns
+    ids = [r["doc_id"] for r in kept.collect()]
+    assert not [i for i in ids if i is not None and 300 <= i < 400] and sum(i is not None and i < 240 for i in ids) >= 230
+    model = quality.fit(docs, spark.read.parquet(f"{at}/labels.parquet"))
+    tails = model.probabilities([(t or "").encode() for _, t in rows])
+    assert len(ids) == sum(bool(a >= model.least[0] and b >= model.least[1]) for a, b in tails)
+    # near copies: by brute force
+    first = {i for i, (_, c) in brute(rows).items() if i == c}
+    want = {(i, t) for i, t in rows if i in first} | {(i, t) for i, t in rows if i is None}
+    got = near(spark, docs, at)
+    assert got.columns == docs.columns and sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=str) == sorted(want, key=str)
+    # passages: by brute force, over rows with one text an id
+    plain = docs.where("doc_id is null or doc_id <> 2")
+    want = remove([(i, t) for i, t in rows if i != 2])
+    got = cut(spark, plain, at)
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert r["n_chars"] == len(r["text"])
+        if r["doc_id"] is not None:
+            assert len(r["text"].encode()) == want[r["doc_id"]][0] - want[r["doc_id"]][1]
+    assert {r["doc_id"] for r in got.collect()} == {i for i, t in rows if (t or "").strip() and i != 2 and (i is None or want[i][0] > want[i][1])}
+    # mixture: whole rows, as often as their rates say; the words of the languages near the square roots of their shares
+    got = mix(spark, docs, at)
+    assert got.columns == docs.columns
+    labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(spark.read.parquet(f"{at}/labels.parquet").select("doc_id"), "doc_id", "left_semi")
+    rated = mixing.mix(docs, labelled, "root").collect()
+    assert got.count() == sum(r["copies"] for r in rated) and min(r["rate"] for r in rated) < 1 < max(r["rate"] for r in rated)
+    assert all(abs(r["copies"] - r["rate"]) < 1 for r in rated) and {tuple(r) for r in got.collect()} <= {tuple(r) for r in docs.collect()}
+    # packing: every id of every row in one piece
+    by = check_tiling(pack(spark, docs, at).collect())
+    own = packing.Tokens(__import__("public_tokenizers").path("byte_bpe_50k.json"))
+    assert {i: sum(n for _, n, _ in x) for i, x in by.items()} == {i: sum(len(own.ids(t or "")) + 1 for j, t in rows if j == i) for i in {i for i, _ in rows}}
+
+
+def test_pipeline(spark, staged):
+    """run() is its stages, one on the rows of another; empty tables go through."""
+    import corpus_pipeline as pipeline
+
+    docs, at = staged
+    left = docs
+    for _, stage in pipeline.STAGES:
+        before, left = left, stage(spark, left, at).persist()
+    sizes = lambda frame: sorted(((r["doc_id"], r["doc_tokens"]) for r in frame.where("start = 0").collect()), key=str)
+    assert sizes(pipeline.run(spark, at)) == sizes(left) and left.where("start = 0").count() == before.count()
+    empty = docs.where("false")
+    for _, stage in pipeline.STAGES:
+        assert stage(spark, empty, at).count() == 0
+
+
 def nearest(rows, chosen, k=10):
     """Each chosen row's k nearest rows by brute force: {(query, copy): [(vec_id, distance)]}."""
     rows = [(i, np.array(v, float)) for i, v in rows if i is not None and v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)]
