@@ -18,7 +18,7 @@ from metalake.llm.common import materialize, read_table
 def grade(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose predicted grade reaches both limits of the ordinal model."""
     model = quality.fit(docs, read_table(spark, sf_dir, "labels"))
-    return quality.grade(docs, model).where("keep").select(*docs.columns)
+    return quality.kept(docs, model)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +35,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Languages nearer to each other (the square roots of their shares) in as many words: rates below 1 leave documents out, others repeat them."""
     labelled = docs.select("doc_id", F.col("lang").alias("domain")).join(read_table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
-    return mixing.repeat(mixing.mix(docs, labelled, "root")).select(*docs.columns)
+    return mixing.mixture(docs, labelled, "root")
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
