@@ -2,15 +2,15 @@
 
 *Anchors.* Every 100-byte window has one anchor, the 24-byte gram in it with the least hash (the first of equals), so equal
 windows have equal anchors. Neighbouring windows with one anchor form a run: 22 bytes long on average, it is what is shuffled.
-Runs are dealt by a hash of their anchor's gram. A gram with one run can't match; runs with equal bytes keep the earliest, and the
-others' windows are matched whole. What is left, runs under one gram that differ, go with their bytes to suffix arrays.
+Runs are dealt by a hash of their anchor's gram. A gram with one run can't match; of runs with equal bytes, told by a 128-bit hash, the earliest
+stands for all, and the others' windows are matched whole: at 10^12 runs, the odds that any two different ones share a hash are about 1 in 10^15. What is left, runs under one gram that differ, go with their bytes to suffix arrays.
 
 *Suffix arrays.* In each shard the runs come in document order, in batches. A batch's suffixes (all windows of its runs) are
 sorted by their first 100 bytes; the sorted batch is merge-scanned against each level for equal strings; those that are new make a level
 of their own, and levels of equal size merge, so n batches leave about log2(n) levels.
 
 *Hot grams.* A gram that has many different runs (a frequent line with other text around it) isn't gathered: its windows are
-dealt by their own 64-bit hash, equal ones being combined where they are read, so that no group meets in one task.
+dealt by their own 128-bit hash, equal ones being combined where they are read, so that no group meets in one task.
 
 Strings are judged on the input; overlaps count; matches never cross documents. The earlier of two places is that with the
 smaller doc_id, then start.
@@ -37,17 +37,17 @@ AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
 HOT_CHUNK, HOT = 64, 1024  # different runs under a gram, in a chunk or in all, from which its windows go by their own hashes
 FLUSH = 4 << 20  # bytes of text whose runs are combined before they are dealt
 BATCH = 1 << 16  # suffixes of a batch
-C = multipliers(16, 41)
+C, D = multipliers(16, 41), multipliers(16, 43)
 
 
-def _double(h: np.ndarray, by: int, k: int) -> np.ndarray:
+def _double(h: np.ndarray, by: int, k: int, c: np.ndarray = C) -> np.ndarray:
     """Hashes of strings longer by `by`, from those of their starts and of what begins `by` further on."""
-    x = h[:-by] * C[k] + (h[by:] ^ (h[by:] >> U64(29))) * C[k + 1]
+    x = h[:-by] * c[k] + (h[by:] ^ (h[by:] >> U64(29))) * c[k + 1]
     return x ^ (x >> U64(32))
 
 
-def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the 24-byte and the 100-byte strings at each place that has one."""
+def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the 24-byte strings, and the two halves of 128-bit hashes of the 100-byte strings, at each place that has one."""
     h = (data.astype(U64) + U64(1)) * C[0]
     h = h ^ (h >> U64(31))
     for k, by in enumerate((1, 2, 4)):
@@ -58,13 +58,21 @@ def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h32 = _double(h16, 16, 7)
     h64 = _double(h32, 32, 8)
     h100 = h64[: len(data) - 99] * C[10] + (h64[36:] ^ (h64[36:] >> U64(29))) * C[11]
-    return gram, mix64(h100)
+    w = data.astype(U64)
+    for by in (1, 2, 4):
+        w = w[:-by] | (w[by:] << U64(8 * by))  # the 8 bytes themselves
+    w = w * D[0]
+    w ^= w >> U64(32)
+    for k, by in enumerate((8, 16, 32)):
+        w = _double(w, by, k + 1, D)
+    other = w[: len(data) - 99] * D[10] + (w[36:] ^ (w[36:] >> U64(29))) * D[11]
+    return gram, mix64(h100), mix64(other)
 
 
 def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
-    """The runs of the texts: text index, gram hash, anchor, first and last window start (in the text), hash of the run's bytes.
+    """The runs of the texts: text index, gram hash, anchor, first and last window start (in the text), the halves of a hash of the run's bytes.
 
-    Also `base` (each text's start), `window` (hashes of the windows, by place in the joined texts).
+    Also `base` (each text's start), `window` and `window2` (halves of the windows' hashes, by place in the joined texts).
     """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     base = np.concatenate(([0], np.cumsum(sizes)))
@@ -72,7 +80,7 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
     if n < DEPTH:
         return None
     data = np.frombuffer(b"".join(texts), np.uint8)
-    gram, window = window_hashes(data)
+    gram, window, window2 = window_hashes(data)
     last = n - DEPTH
     text = np.repeat(np.arange(len(texts)), sizes)[: last + 1]
     fits = np.arange(last + 1) + DEPTH <= base[text + 1]
@@ -104,8 +112,9 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
         return None
     doc = text[first]
     # a run's bytes are those of its first and last windows, between which no byte lies (a run has at most 77 windows)
-    same = mix64(window[first] * C[12] + (window[final] ^ (window[final] >> U64(31))) * C[13] + ((anchor - first) * 128 + (final - first)).astype(U64))
-    return {"doc": doc, "gram": gram[anchor], "anchor": anchor - base[doc], "first": first - base[doc], "last": final - base[doc], "same": same, "base": base, "window": window, "data": data}
+    shape = ((anchor - first) * 128 + (final - first)).astype(U64)
+    same, same2 = (mix64(w[first] * c[12] + (w[final] ^ (w[final] >> U64(31))) * c[13] + shape) for w, c in ((window, C), (window2, D)))
+    return {"doc": doc, "gram": gram[anchor], "anchor": anchor - base[doc], "first": first - base[doc], "last": final - base[doc], "same": same, "same2": same2, "base": base, "window": window, "window2": window2}
 
 
 Spans = tuple[np.ndarray, np.ndarray, np.ndarray]  # document, start, end
@@ -120,8 +129,8 @@ def _batch(kind: int, n: int, **columns) -> pa.RecordBatch:
 
 
 RUNS, SPANS, WINDOWS, DIFFER, TEXTS = range(5)
-_RUN = ["u8", "u8", "i8", "i4", "u2"]  # gram, same, document, first (-1: the gram is hot), (anchor - first) * 128 + last - first
-_WINDOW = ["u8", "i8", "i4"]
+_RUN = ["u8", "u8", "u8", "i8", "i4", "u2"]  # gram, halves of the run's hash, document, first (-1: the gram is hot), (anchor - first) * 128 + last - first
+_WINDOW = ["u8", "u8", "i8", "i4"]
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -153,14 +162,14 @@ def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, first: np.ndarray)
     return order, new, (d != d[head]) | (f != f[head])
 
 
-def _windows(fp: np.ndarray, doc: np.ndarray, start: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+def _windows(fp: np.ndarray, fp2: np.ndarray, doc: np.ndarray, start: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
     """Windows dealt by their own hash, of equal ones the earliest; the others' spans."""
-    order, new, later = _earliest((fp,), doc, start)
+    order, new, later = _earliest((fp2, fp), doc, start)
     k = order[later]
     yield from _spans(doc[k], start[k], start[k] + DEPTH)
     k = order[new]
-    fp, doc, start = fp[k], doc[k], start[k].astype(np.int32)
-    rows = [(s, pack([fp[i], doc[i], start[i]])) for s, i in by_shard(fp, shards)]
+    fp, fp2, doc, start = fp[k], fp2[k], doc[k], start[k].astype(np.int32)
+    rows = [(s, pack([fp[i], fp2[i], doc[i], start[i]])) for s, i in by_shard(fp, shards)]
     yield _batch(WINDOWS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
 
 
@@ -179,24 +188,24 @@ def deal(docs: DataFrame, shards: int) -> DataFrame:
         get = lambda name: np.concatenate([r[name] for r, _ in held])
         doc = np.concatenate([ids[r["doc"]] for r, ids in held])
         place = np.concatenate([r["base"][r["doc"]] + r["first"] + lift for (r, _), lift in zip(held, lifts, strict=False)])
-        gram, same, first, last, anchor = map(get, ("gram", "same", "first", "last", "anchor"))
-        order, new, later = _earliest((same, gram), doc, first)
+        gram, same, same2, first, last, anchor = map(get, ("gram", "same", "same2", "first", "last", "anchor"))
+        order, new, later = _earliest((same2, same, gram), doc, first)
         k = order[later]
         yield from _spans(doc[k], first[k], last[k] + DEPTH)
         k = order[new]  # by gram
-        gram, same, doc, first, last, anchor, place = (x[k] for x in (gram, same, doc, first, last, anchor, place))
+        gram, same, same2, doc, first, last, anchor, place = (x[k] for x in (gram, same, same2, doc, first, last, anchor, place))
         begin = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         size = np.diff(np.append(begin, len(gram)))
         hot = np.repeat(size >= HOT_CHUNK, size)
         if hot.any():
-            window = np.concatenate([r["window"] for r, _ in held])
             run, start = _expand(first[hot], (last - first)[hot] + 1)
-            yield from _windows(window[place[hot][run] + start - first[hot][run]], doc[hot][run], start, shards)
+            at = place[hot][run] + start - first[hot][run]
+            yield from _windows(get("window")[at], get("window2")[at], doc[hot][run], start, shards)
         marks = gram[begin[size >= HOT_CHUNK]]
         zero = np.zeros(len(marks), np.int64)
         cold = ~hot
         info = (anchor - first) * 128 + (last - first)
-        cols = [np.concatenate(x) for x in ((gram[cold], marks), (same[cold], zero.astype(U64)), (doc[cold], zero), (first[cold], zero - 1), (info[cold], zero))]
+        cols = [np.concatenate(x) for x in ((gram[cold], marks), (same[cold], zero.astype(U64)), (same2[cold], zero.astype(U64)), (doc[cold], zero), (first[cold], zero - 1), (info[cold], zero))]
         cols = [c.astype(t) for c, t in zip(cols, _RUN, strict=True)]
         rows = [(s, pack([c[i] for c in cols])) for s, i in by_shard(cols[0], shards)]
         yield _batch(RUNS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
@@ -207,7 +216,6 @@ def deal(docs: DataFrame, shards: int) -> DataFrame:
             ids, texts = b.column(0).to_numpy(), utf8(b.column(1))
             for i, j in chunks(map(len, texts), AT_ONCE):
                 if (r := runs(texts[i:j])) is not None:
-                    del r["data"]
                     held.append((r, ids[i:j]))
                     size += int(r["base"][-1])
                 if size >= FLUSH:
@@ -249,13 +257,13 @@ def compare(dealt: DataFrame) -> DataFrame:
             yield _batch(WINDOWS, len(w), shard=[shard] * len(w), block=w)
         if not (found := blocks.get(RUNS)):
             return
-        gram, same, doc, first, info = (np.concatenate(x) for x in zip(*(unpack(x, _RUN) for x in found), strict=True))
+        gram, same, same2, doc, first, info = (np.concatenate(x) for x in zip(*(unpack(x, _RUN) for x in found), strict=True))
         marked = np.unique(gram[first < 0])
         real = first >= 0
-        gram, same, doc, first, info = (x[real] for x in (gram, same, doc, first, info))
+        gram, same, same2, doc, first, info = (x[real] for x in (gram, same, same2, doc, first, info))
         if not len(gram):
             return
-        order, new, later = _earliest((same, gram), doc, first)
+        order, new, later = _earliest((same2, same, gram), doc, first)
         k = order[later]
         yield from _spans(doc[k], first[k], first[k].astype(np.int64) + (info[k] & 127) + DEPTH)
         k = order[new]
@@ -289,7 +297,7 @@ def with_texts(docs: DataFrame, differ: DataFrame, shards: int) -> DataFrame:
             yield from _windows(*(np.concatenate(w) for w in windows), shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = lambda: ([[], [], [], []], [], [[], [], []], 0)
+        new = lambda: ([[], [], [], []], [], [[], [], [], []], 0)
         cols, parts, windows, size = new()
         for b in batches:
             texts = utf8(b.column(1))
@@ -301,11 +309,11 @@ def with_texts(docs: DataFrame, differ: DataFrame, shards: int) -> DataFrame:
                 first, gram, info = first[order], gram[order], info[order]
                 count, hot = (info & 127).astype(np.uint8), info >> 14 > 0
                 if hot.any():
-                    fp = window_hashes(np.frombuffer(text, np.uint8))[1]
+                    _, fp, fp2 = window_hashes(np.frombuffer(text, np.uint8))
                     _, start = _expand(first[hot].astype(np.int64), count[hot].astype(np.int64) + 1)
-                    for w, x in zip(windows, (fp[start], np.full(len(start), doc, np.int64), start), strict=True):
+                    for w, x in zip(windows, (fp[start], fp2[start], np.full(len(start), doc, np.int64), start), strict=True):
                         w.append(x)
-                    size += 20 * len(start)
+                    size += 28 * len(start)
                 cold = ~hot
                 if cold.any():
                     for c, x in zip(cols, (gram[cold].view(U64), np.full(int(cold.sum()), doc, np.int64), first[cold].astype(np.int32), count[cold]), strict=True):
@@ -354,8 +362,8 @@ def settle(steps: DataFrame) -> DataFrame:
 
     def finish(_: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
         if w := blocks.get(WINDOWS):
-            fp, doc, start = (np.concatenate(x) for x in zip(*(unpack(x, _WINDOW) for x in w), strict=True))
-            order, _, later = _earliest((fp,), doc, start)
+            fp, fp2, doc, start = (np.concatenate(x) for x in zip(*(unpack(x, _WINDOW) for x in w), strict=True))
+            order, _, later = _earliest((fp2, fp), doc, start)
             k = order[later]
             yield from _spans(doc[k], start[k], start[k].astype(np.int64) + DEPTH)
         if not (found := blocks.get(TEXTS)):

@@ -136,6 +136,19 @@ def test_suffix_dedup(docs, empty, monkeypatch):
     assert left.columns == docs.columns and left.where("trim(text) = ''").count() == 0
 
 
+def test_suffix_hashes():
+    r = random.Random(4)
+    data = np.frombuffer(bytes(r.choice(b"ab") for _ in range(400)) * 2, np.uint8)
+    gram, low, high = suffix_dedup.window_hashes(data)
+    for size, h in ((24, gram), (100, low), (100, high)):
+        assert len(h) == len(data) - size + 1
+        strings = defaultdict(set)
+        for i, x in enumerate(h.tolist()):
+            strings[data[i : i + size].tobytes()].add(x)
+        assert all(len(x) == 1 for x in strings.values()) and len(set.union(*strings.values())) == len(strings)
+    assert not set(low.tolist()) & set(high.tolist())
+
+
 def test_suffix_levels():
     r = random.Random(5)
     data = bytes(r.choice(b"ab\0") for _ in range(3000)) * 2
