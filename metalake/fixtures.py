@@ -84,19 +84,27 @@ MANIFEST = {"type": "record", "name": "manifest_entry", "fields": [
 MANIFEST_LIST = {"type": "record", "name": "manifest_file", "fields": [{"name": "manifest_path", "type": "string"}, {"name": "manifest_length", "type": "long"}, {"name": "content", "type": "int"}]}
 
 
-def write_iceberg(spark: SparkSession, snapshots: list[DataFrame], root: str, recorded_root: str | None = None) -> str:
-    """An Iceberg table that adds a frame in each snapshot, its paths recorded under another root if given; the metadata file's path."""
+def write_iceberg(spark: SparkSession, snapshots: list[DataFrame], root: str, recorded_root: str | None = None, renames: dict[str, str] | None = None) -> str:
+    """An Iceberg table that adds a frame in each snapshot, its paths recorded under another root if given; the metadata file's path.
+
+    renames: new names of columns since; the files then hold their fields' ids.
+    """
     said, manifests, made = recorded_root or root, [], []
     simple = {"bigint": "long", "int": "int", "string": "string", "double": "double", "date": "date"}
     fields = [{"id": i + 1, "name": f.name, "required": False, "type": simple[f.dataType.simpleString()]} for i, f in enumerate(snapshots[0].schema.fields)]
+    schemas = [{"schema-id": 0, "type": "struct", "fields": fields}]
+    if renames:
+        schemas.append({"schema-id": 1, "type": "struct", "fields": [f | {"name": renames.get(f["name"], f["name"])} for f in fields]})
     for k, df in enumerate(snapshots, 1):
+        if renames is not None:
+            df = df.select(*[F.col(f["name"]).alias(f["name"], metadata={"parquet.field.id": f["id"]}) for f in fields])
         df.coalesce(1).write.parquet(f"{root}/data/s{k}")
         entries = [{"status": 1, "snapshot_id": k, "data_file": {"content": 0, "file_path": f"{said}/data/s{k}/{n}", "file_format": "PARQUET", "record_count": 1}} for n in _parquet_files(spark, f"{root}/data/s{k}")]
         _put(spark, f"{root}/metadata/m{k}.avro", avro.write_container(entries, MANIFEST))
         manifests.append({"manifest_path": f"{said}/metadata/m{k}.avro", "manifest_length": 1, "content": 0})
         _put(spark, f"{root}/metadata/snap-{k}.avro", avro.write_container(manifests, MANIFEST_LIST, deflate=False))
         made.append({"snapshot-id": k, "manifest-list": f"{said}/metadata/snap-{k}.avro"})
-        info = {"format-version": 2, "location": said, "current-schema-id": 0, "schemas": [{"schema-id": 0, "type": "struct", "fields": fields}], "current-snapshot-id": k, "snapshots": list(made)}
+        info = {"format-version": 2, "location": said, "current-schema-id": len(schemas) - 1, "schemas": schemas, "current-snapshot-id": k, "snapshots": list(made)}
         _put(spark, f"{root}/metadata/v{k}.metadata.json", json.dumps(info).encode())
     return f"{root}/metadata/v{len(snapshots)}.metadata.json"
 
@@ -176,6 +184,10 @@ def ensure(engine: Engine, name: str) -> Engine:
             where = write_iceberg(spark, [df.where("p_partkey % 2 = 0"), df.where("p_partkey % 2 = 1")], at, "s3://moved/lake/part")
             assert where.startswith(at)
             add(**described(ICEBERG), parameters={"table_type": "ICEBERG"})
+        case "part_renamed":
+            df = src("part")
+            write_iceberg(spark, [df], at, renames={"p_name": "title", "p_type": "p_name"})  # a name moves to another column
+            add(**described(ICEBERG), parameters={"table_type": "ICEBERG"})
         case "supplier_orc":
             df = src("supplier")
             df.write.orc(at)

@@ -49,6 +49,7 @@ _DELTA = "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderprio
 _both("scan_delta_log_replay", "select * from hms.lake.orders_delta", _DELTA, "orders_delta")
 _both("scan_delta_checkpoint", "select * from hms.lake.orders_delta_checkpoint", _DELTA, "orders_delta_checkpoint")
 _both("scan_iceberg_snapshot", "select * from hms.lake.part_iceberg", "select * from part", "part_iceberg")
+_both("scan_iceberg_renamed", "select * from hms.lake.part_renamed", "select p_partkey, p_name title, p_brand, p_type p_name, p_size, p_retailprice from part", "part_renamed")
 _both("scan_orc", "select * from hms.lake.supplier_orc", "select * from supplier", "supplier_orc")
 _both("type_mapping_nested", "select event_id, s.user_id uid, cast(s.value as string) v, a[0] first, cast(m[a[0]] as string) mv from hms.lake.nested", "select event_id, user_id uid, value::decimal(12,2)::varchar v, event_type as first, value::decimal(10,2)::varchar mv from events", "nested")
 _both("spark_schema_multipart", "select * from hms.lake.customer_recorded", "select * from customer", "customer_recorded")

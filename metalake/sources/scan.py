@@ -116,7 +116,12 @@ def delta_files(spark: SparkSession, root: str) -> tuple[T.StructType, list[str]
             checkpoints.setdefault(int(n[:20]), []).append(n)
     if not commits and not checkpoints:
         raise UnsupportedFormat(f"no transaction log at {root}")
-    start = max(checkpoints, default=-1)
+    whole = {v: found for v, found in checkpoints.items() if all(len(found) == int(n.split(".")[-2]) for n in found if n.count(".") == 4)}  # of several parts all are there
+    start = max(whole, default=-1)
+    newest = max(commits, default=start)
+    if missing := sorted(set(range(start + 1, newest + 1)) - set(commits)):
+        raise UnsupportedFormat(f"the log at {root} lacks version {missing[0]}")
+    checkpoints = whole
     action = (
         "add struct<path:string,partitionValues:map<string,string>,deletionVector:struct<storageType:string>>, remove struct<path:string>,"
         " metaData struct<schemaString:string,partitionColumns:array<string>,configuration:map<string,string>>, protocol struct<minReaderVersion:int,readerFeatures:array<string>>"
@@ -187,7 +192,7 @@ def scan_delta(spark: SparkSession, meta: TableMeta, path: str) -> DataFrame:
 def _iceberg_type(kind) -> T.DataType:
     if isinstance(kind, dict):
         if kind["type"] == "struct":
-            return T.StructType([T.StructField(f["name"], _iceberg_type(f["type"])) for f in kind["fields"]])
+            return T.StructType([T.StructField(f["name"], _iceberg_type(f["type"]), metadata={"parquet.field.id": f["id"]} if "id" in f else {}) for f in kind["fields"]])
         if kind["type"] == "list":
             return T.ArrayType(_iceberg_type(kind["element"]))
         return T.MapType(_iceberg_type(kind["key"]), _iceberg_type(kind["value"]))
@@ -197,6 +202,29 @@ def _iceberg_type(kind) -> T.DataType:
     return extra.get(kind) or types.parse_type(kind)
 
 
+def _places(kind, path: tuple[str, ...] = ()) -> list[tuple[int, tuple[str, ...]]]:
+    """(field id, path of names) of each field of a type, nested ones too."""
+    if not isinstance(kind, dict):
+        return []
+    if kind["type"] == "struct":
+        return [x for f in kind["fields"] for x in [(f.get("id", -1), (*path, f["name"])), *_places(f["type"], (*path, f["name"]))]]
+    return [x for part in ("element", "key", "value") if part in kind for x in _places(kind[part], (*path, part))]
+
+
+def moved_fields(schemas: list[dict]) -> bool:
+    """Whether a field has had another name, or a name another field, in any of a table's schemas."""
+    seen = {x for s in schemas for x in _places(s)}
+    return len({i for i, _ in seen}) < len(seen) or len({p for _, p in seen}) < len(seen)
+
+
+def without_ids(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, without_ids(f.dataType), f.nullable) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(without_ids(kind.elementType), kind.containsNull)
+    return T.MapType(without_ids(kind.keyType), without_ids(kind.valueType)) if isinstance(kind, T.MapType) else kind
+
+
 def iceberg_metadata(spark: SparkSession, meta: TableMeta, root: str, guess: bool = True) -> str:
     """The metadata file: that which the catalog names, else the highest version in the table's folder."""
     named = meta.parameters.get("metadata_location")
@@ -214,7 +242,8 @@ def iceberg_metadata(spark: SparkSession, meta: TableMeta, root: str, guess: boo
 def scan_iceberg(spark: SparkSession, meta: TableMeta, path: str, guess: bool = True) -> DataFrame:
     info = json.loads(read_bytes(spark, iceberg_metadata(spark, meta, path, guess)))
     schemas = {s.get("schema-id", 0): s for s in info.get("schemas") or [info["schema"]]}
-    schema = _iceberg_type(schemas[info.get("current-schema-id", max(schemas))])
+    by_id = _iceberg_type(schemas[info.get("current-schema-id", max(schemas))])
+    schema = without_ids(by_id)
     current = info.get("current-snapshot-id")
     snapshot = next((s for s in info.get("snapshots") or [] if s["snapshot-id"] == current), None)
     if snapshot is None or current == -1:
@@ -226,7 +255,8 @@ def scan_iceberg(spark: SparkSession, meta: TableMeta, path: str, guess: bool =
         """A recorded path below the table's present root."""
         return path + bare(p)[len(bare(old)) :] if bare(p).startswith(bare(old) + "/") else paths.to_hadoop(p)
 
-    manifests = avro.read_container(read_bytes(spark, here(snapshot["manifest-list"])))
+    listed = "manifest-list" in snapshot  # version 1 may hold the manifests' paths themselves
+    manifests = avro.read_container(read_bytes(spark, here(snapshot["manifest-list"]))) if listed else [{"manifest_path": m} for m in snapshot.get("manifests", [])]
     if any(m.get("content", 0) == 1 for m in manifests):
         raise UnsupportedFormat(f"{path} has delete files, which aren't read here")
     places = [here(m["manifest_path"]) for m in manifests]
@@ -240,7 +270,12 @@ def scan_iceberg(spark: SparkSession, meta: TableMeta, path: str, guess: bool =
         raise UnsupportedFormat(f"{path} has data files other than Parquet")
     if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[here(p) for p, _ in found])
+    files = [here(p) for p, _ in found]
+    if not moved_fields(list(schemas.values())):
+        return spark.read.schema(schema).parquet(*files)
+    # columns by their ids, as names have moved; Spark has no option for this but the session's. A file without ids is an error then, not nulls
+    spark.conf.set("spark.sql.parquet.fieldId.read.enabled", "true")
+    return spark.read.schema(by_id).parquet(*files)
 
 
 READERS: dict[Format, Callable[[SparkSession, TableMeta, str], DataFrame]] = {
