@@ -307,7 +307,7 @@ def test_packing_order_brings_neighbours_together():
     import public_tokenizers
 
     own = packing.Tokens(public_tokenizers.path("byte_bpe_50k.json"))
-    docs = [packing.count_terms(d) for d in own.encode([t for _, t in twins()])]
+    docs = [packing.count_terms(d) for d in (own.ids(t) for _, t in twins())]
     stats = packing.Stats(300, float(np.mean([c.sum() for _, c in docs])), np.bincount(np.concatenate([t for t, _ in docs]), minlength=50257))
     router = packing.Router(stats, docs[::8], [])
     shard = np.empty(300, int)
