@@ -1,16 +1,21 @@
 """Suffix-array dedup: bytes covered by a 100-byte string that also starts earlier go, by a logarithmic family of suffix arrays.
 
 *Anchors.* Every 100-byte window has one anchor, the 24-byte gram in it with the least hash (the first of equals), so equal
-windows have equal anchors. Neighbouring windows with one anchor form a run: 22 bytes long on average, it is what is shuffled.
-Runs are dealt by a hash of their anchor's gram. A gram with one run can't match; of runs with equal bytes, told by a 128-bit hash, the earliest
-stands for all, and the others' windows are matched whole: at 10^12 runs, the odds that any two different ones share a hash are about 1 in 10^15. What is left, runs under one gram that differ, go with their bytes to suffix arrays.
+windows have equal anchors. Neighbouring windows with one anchor form a run. Runs are dealt by a hash of their anchor's gram. A gram with one
+run can't match; all other runs go with their bytes to the suffix arrays of their gram's shard. Hashes only deal and leave out: what
+goes is what a suffix array has found equal byte by byte.
 
-*Suffix arrays.* In each shard the runs come in document order, in batches. A batch's suffixes (all windows of its runs) are
-sorted by their first 100 bytes; the sorted batch is merge-scanned against each level for equal strings; those that are new make a level
-of their own, and levels of equal size merge, so n batches leave about log2(n) levels.
+*Suffix arrays.* In each shard runs come in batches. A batch's suffixes (all windows of its runs) are sorted by their first 100 bytes, the
+depth at which matches count; the sorted batch is merge-scanned against each level for equal strings; those that are new make a level of
+their own, and levels of equal size merge, so n batches leave about log2(n) levels. A level is text, positions in it and the
+earliest place of each string; of a string's other places it keeps nothing, so what a shard holds grows with its different strings alone. Batches may come in any order:
+where an earlier place turns up, the one it displaces goes.
 
-*Hot grams.* A gram that has many different runs (a frequent line with other text around it) isn't gathered: its windows are
-dealt by their own 128-bit hash, equal ones being combined where they are read, so that no group meets in one task.
+*Many copies.* Runs that a task meets again in the same few MB go through suffix arrays there, and only the first is dealt, so a string is dealt once for each
+`FLUSH` bytes at most.
+
+*Hot grams.* The runs of a gram that has many different ones (a frequent line with other text around it) aren't gathered: each of
+their windows goes with its bytes to the suffix arrays of a shard dealt by the window's hash.
 
 Strings are judged on the input; overlaps count; matches never cross documents. The earlier of two places is that with the
 smaller doc_id, then start.
@@ -34,20 +39,22 @@ from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64,
 
 DEPTH, GRAM = 100, 24
 AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
-HOT_CHUNK, HOT = 64, 1024  # different runs under a gram, in a chunk or in all, from which its windows go by their own hashes
+HOT_CHUNK, HOT = 64, 1024  # different runs under a gram, in a chunk or in all, from which its windows are dealt one by one
 FLUSH = 4 << 20  # bytes of text whose runs are combined before they are dealt
-BATCH = 1 << 16  # suffixes of a batch
-C, D = multipliers(16, 41), multipliers(16, 43)
+SHARD_TEXT = 16 << 20  # bytes of text for which there is a shard, at least
+BATCH = 1 << 17  # suffixes of a batch
+SCAN = 1 << 14  # suffixes of a level that are read at once
+C = multipliers(16, 41)
 
 
-def _double(h: np.ndarray, by: int, k: int, c: np.ndarray = C) -> np.ndarray:
+def _double(h: np.ndarray, by: int, k: int) -> np.ndarray:
     """Hashes of strings longer by `by`, from those of their starts and of what begins `by` further on."""
-    x = h[:-by] * c[k] + (h[by:] ^ (h[by:] >> U64(29))) * c[k + 1]
+    x = h[:-by] * C[k] + (h[by:] ^ (h[by:] >> U64(29))) * C[k + 1]
     return x ^ (x >> U64(32))
 
 
-def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """64-bit hashes of the 24-byte strings, and the two halves of 128-bit hashes of the 100-byte strings, at each place that has one."""
+def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the 24-byte and of the 100-byte strings at each place that has one."""
     h = (data.astype(U64) + U64(1)) * C[0]
     h = h ^ (h >> U64(31))
     for k, by in enumerate((1, 2, 4)):
@@ -58,21 +65,13 @@ def window_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     h32 = _double(h16, 16, 7)
     h64 = _double(h32, 32, 8)
     h100 = h64[: len(data) - 99] * C[10] + (h64[36:] ^ (h64[36:] >> U64(29))) * C[11]
-    w = data.astype(U64)
-    for by in (1, 2, 4):
-        w = w[:-by] | (w[by:] << U64(8 * by))  # the 8 bytes themselves
-    w = w * D[0]
-    w ^= w >> U64(32)
-    for k, by in enumerate((8, 16, 32)):
-        w = _double(w, by, k + 1, D)
-    other = w[: len(data) - 99] * D[10] + (w[36:] ^ (w[36:] >> U64(29))) * D[11]
-    return gram, mix64(h100), mix64(other)
+    return gram, mix64(h100)
 
 
 def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
-    """The runs of the texts: text index, gram hash, anchor, first and last window start (in the text), the halves of a hash of the run's bytes.
+    """The runs of the texts: text index, gram hash, anchor, first and last window start (in the text), a hash of the run's bytes.
 
-    Also `base` (each text's start), `window` and `window2` (halves of the windows' hashes, by place in the joined texts).
+    Also `base` (each text's start) and `data` (the joined texts).
     """
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
     base = np.concatenate(([0], np.cumsum(sizes)))
@@ -80,7 +79,7 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
     if n < DEPTH:
         return None
     data = np.frombuffer(b"".join(texts), np.uint8)
-    gram, window, window2 = window_hashes(data)
+    gram, window = window_hashes(data)
     last = n - DEPTH
     text = np.repeat(np.arange(len(texts)), sizes)[: last + 1]
     fits = np.arange(last + 1) + DEPTH <= base[text + 1]
@@ -113,11 +112,9 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
     doc = text[first]
     # a run's bytes are those of its first and last windows, between which no byte lies (a run has at most 77 windows)
     shape = ((anchor - first) * 128 + (final - first)).astype(U64)
-    same, same2 = (mix64(w[first] * c[12] + (w[final] ^ (w[final] >> U64(31))) * c[13] + shape) for w, c in ((window, C), (window2, D)))
-    return {"doc": doc, "gram": gram[anchor], "anchor": anchor - base[doc], "first": first - base[doc], "last": final - base[doc], "same": same, "same2": same2, "base": base, "window": window, "window2": window2}
-
+    same = mix64(window[first] * C[12] + (window[final] ^ (window[final] >> U64(31))) * C[13] + shape)
+    return {"doc": doc, "gram": gram[anchor], "anchor": anchor - base[doc], "first": first - base[doc], "last": final - base[doc], "same": same, "base": base, "data": data}
 
-Spans = tuple[np.ndarray, np.ndarray, np.ndarray]  # document, start, end
 
 STEP = "kind int, shard int, doc long, gram long, first int, info int, block binary"
 
@@ -128,9 +125,9 @@ def _batch(kind: int, n: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["kind", *kinds])
 
 
-RUNS, SPANS, WINDOWS, DIFFER, TEXTS = range(5)
-_RUN = ["u8", "u8", "u8", "i8", "i4", "u2"]  # gram, halves of the run's hash, document, first (-1: the gram is hot), (anchor - first) * 128 + last - first
-_WINDOW = ["u8", "u8", "i8", "i4"]
+RUNS, SPANS, DIFFER, TEXTS = range(4)
+_RUN = ["u8", "u8", "i8", "i4", "u2"]  # gram, hash of the run, document, first (-1: the gram is hot), (anchor - first) * 128 + last - first
+HOT_BIT = 14  # of a DIFFER row's info: the gram is hot
 
 
 def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -149,28 +146,86 @@ def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.R
     yield _batch(SPANS, len(at), doc=doc[at], first=start[at].astype(np.int32), info=(top[last] - lift[last]).astype(np.int32), shard=(doc[at] % 1009).astype(np.int32))
 
 
-def _earliest(keys: tuple[np.ndarray, ...], doc: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, whether each in order is its key's earliest, whether it is later than that)."""
-    order = np.lexsort((first, doc, *keys))
-    new = np.zeros(len(order), bool)
-    new[0] = True
-    for k in keys:
-        k = k[order]
-        new[1:] |= k[1:] != k[:-1]
-    head = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
-    d, f = doc[order], first[order]
-    return order, new, (d != d[head]) | (f != f[head])
+# ---------------------------------------------------------------- suffix arrays
+def _strings(data: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The first DEPTH bytes of the suffixes of data at these places."""
+    if not len(at):
+        return np.empty(0, f"S{DEPTH}")
+    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, DEPTH)[at]).view(f"S{DEPTH}").ravel()
+
+
+def _earlier(doc: np.ndarray, start: np.ndarray, than_doc: np.ndarray, than_start: np.ndarray) -> np.ndarray:
+    return (doc < than_doc) | ((doc == than_doc) & (start < than_start))
+
+
+class Level:
+    """A suffix array of different strings: text, places in it in the order of their strings, and each string's earliest document and start."""
 
+    def __init__(self, data: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray):
+        self.data, self.at, self.doc, self.start = data, at, doc, start
+
+    def scan(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where each of the sorted strings stands or would stand, whether it is there), by a merge scan: both sides are read in order, and each once."""
+        spot, hit = np.zeros(len(strings), np.int64), np.zeros(len(strings), bool)
+        heads = _strings(self.data, self.at[::SCAN])
+        edges = np.append(np.searchsorted(strings, heads), len(strings))
+        for c, (i, j) in enumerate(zip(edges, edges[1:], strict=False)):
+            if i < j:
+                mine = _strings(self.data, self.at[c * SCAN : (c + 1) * SCAN])
+                k = np.searchsorted(mine, strings[i:j])
+                spot[i:j] = k + c * SCAN
+                hit[i:j] = mine[np.minimum(k, len(mine) - 1)] == strings[i:j]
+        return spot, hit
+
+    def merge(self, other: Level) -> Level:
+        """Both in one; they have no string in common."""
+        spot = [self.scan(_strings(other.data, other.at[i : i + SCAN]))[0] for i in range(0, len(other.at), SCAN)]
+        where = np.concatenate(spot)
+        pairs = ((self.at, other.at + len(self.data)), (self.doc, other.doc), (self.start, other.start))
+        return Level(np.concatenate((self.data, other.data)), *(np.insert(a, where, b) for a, b in pairs))
+
+    def trimmed(self) -> Level:
+        """Without the text that no suffix begins with."""
+        step = np.zeros(len(self.data) + 1, np.int32)
+        np.add.at(step, self.at, 1)
+        np.add.at(step, self.at + DEPTH, -1)
+        held = np.cumsum(step[:-1]) > 0
+        return Level(self.data[held], (np.cumsum(held) - 1)[self.at], self.doc, self.start)
+
+
+class SuffixLevels:
+    """Suffix arrays of the batches so far, in sizes that fall about geometrically; no string is in two of them."""
 
-def _windows(fp: np.ndarray, fp2: np.ndarray, doc: np.ndarray, start: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
-    """Windows dealt by their own hash, of equal ones the earliest; the others' spans."""
-    order, new, later = _earliest((fp2, fp), doc, start)
-    k = order[later]
-    yield from _spans(doc[k], start[k], start[k] + DEPTH)
-    k = order[new]
-    fp, fp2, doc, start = fp[k], fp2[k], doc[k], start[k].astype(np.int32)
-    rows = [(s, pack([fp[i], fp2[i], doc[i], start[i]])) for s, i in by_shard(fp, shards)]
-    yield _batch(WINDOWS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
+    def __init__(self):
+        self.levels: list[Level] = []
+
+    def add(self, data: np.ndarray, at: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(document, start) of the windows that turn out to have an equal one earlier, among the new (at in data) and those before."""
+        if not len(at):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        order = np.lexsort((start, doc))
+        strings = _strings(data, at[order])
+        array = np.argsort(strings, kind="stable")  # the batch's suffix array; equal strings by place
+        order, strings = order[array], strings[array]
+        new = np.concatenate(([True], strings[1:] != strings[:-1]))
+        head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+        at, doc, start = at[order], doc[order], start[order]
+        late = _earlier(doc[head], start[head], doc, start)
+        gone = [(doc[late], start[late])]
+        strings, at, doc, start = strings[new], at[new], doc[new], start[new]
+        for level in self.levels:
+            spot, hit = level.scan(strings)
+            k, d, f = spot[hit], doc[hit], start[hit]
+            before, after = _earlier(d, f, level.doc[k], level.start[k]), _earlier(level.doc[k], level.start[k], d, f)
+            gone += [(d[after], f[after]), (level.doc[k[before]], level.start[k[before]])]
+            level.doc[k[before]], level.start[k[before]] = d[before], f[before]
+            strings, at, doc, start = strings[~hit], at[~hit], doc[~hit], start[~hit]
+        if len(at):
+            self.levels.append(Level(data, at, doc, start).trimmed())
+            while len(self.levels) > 1 and len(self.levels[-1].at) * 2 > len(self.levels[-2].at):
+                b, a = self.levels.pop(), self.levels.pop()
+                self.levels.append(a.merge(b))
+        return tuple(np.concatenate(x) for x in zip(*gone, strict=True))
 
 
 def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -180,32 +235,66 @@ def _expand(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return run, first[run] + np.arange(len(run)) - begin[run]
 
 
+def _texts(key: np.ndarray, doc: np.ndarray, first: np.ndarray, count: np.ndarray, data: np.ndarray, begin: np.ndarray, shards: int) -> Iterator[pa.RecordBatch]:
+    """Runs of count windows with their bytes (from begin in data), by shard of their key."""
+    rows, size = [], count.astype(np.int64) + DEPTH - 1
+    for s, i in by_shard(key, shards):
+        at = _expand(begin[i], size[i])[1]
+        head = pack([doc[i], first[i].astype(np.int32), count[i].astype(np.uint8)])
+        rows.append((s, len(head).to_bytes(8, "little") + head + pack([data[at]])))
+    yield _batch(TEXTS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
+
+
+# ---------------------------------------------------------------- steps
+def _again(gram: np.ndarray, same: np.ndarray, doc: np.ndarray, first: np.ndarray, count: np.ndarray, data: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether each run has nothing but windows with an equal one earlier in another run, documents and starts of such windows).
+
+    Runs with equal hashes are looked at; suffix arrays tell.
+    """
+    order = np.lexsort((first, doc, same, gram))
+    equal = (gram[order[1:]] == gram[order[:-1]]) & (same[order[1:]] == same[order[:-1]])
+    some = np.zeros(len(order), bool)
+    some[order[1:][equal]] = some[order[:-1][equal]] = True
+    out, some = np.zeros(len(order), bool), np.flatnonzero(some)
+    levels, found = SuffixLevels(), [(np.empty(0, np.int64), np.empty(0, np.int64))]
+    for i, j in chunks(count[some].tolist(), BATCH):
+        run, at = _expand(place[some[i:j]], count[some[i:j]])
+        mine = some[i:j][run]
+        found.append(levels.add(data, at, doc[mine], first[mine] + at - place[mine]))
+    d, f = (np.concatenate(x) for x in zip(*found, strict=True))
+    if len(d):
+        # a run goes if each of its places is among the found; runs hold a document's places in order
+        docs, number = np.unique(np.concatenate((d, doc[some])), return_inverse=True)
+        wide = int(max(f.max(), (first + count).max())) + 1
+        places = np.unique(number[: len(d)] * wide + f)
+        low = number[len(d) :] * wide + first[some]
+        out[some] = np.searchsorted(places, low + count[some]) - np.searchsorted(places, low) == count[some]
+    return out, d, f
+
+
 def deal(docs: DataFrame, shards: int) -> DataFrame:
-    """The runs of docs (doc_id, text), equal ones combined, by shard of their gram; windows of hot grams; spans found on the way."""
+    """The runs of docs (doc_id, text) by shard of their gram, those that come again within FLUSH bytes left out; runs of hot grams; spans found on the way."""
 
     def flush(held: list[tuple[dict, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        lifts = np.cumsum([0, *(len(r["window"]) for r, _ in held)])
+        lifts = np.cumsum([0, *(len(r["data"]) for r, _ in held)])
         get = lambda name: np.concatenate([r[name] for r, _ in held])
         doc = np.concatenate([ids[r["doc"]] for r, ids in held])
         place = np.concatenate([r["base"][r["doc"]] + r["first"] + lift for (r, _), lift in zip(held, lifts, strict=False)])
-        gram, same, same2, first, last, anchor = map(get, ("gram", "same", "same2", "first", "last", "anchor"))
-        order, new, later = _earliest((same2, same, gram), doc, first)
-        k = order[later]
-        yield from _spans(doc[k], first[k], last[k] + DEPTH)
-        k = order[new]  # by gram
-        gram, same, same2, doc, first, last, anchor, place = (x[k] for x in (gram, same, same2, doc, first, last, anchor, place))
+        gram, same, first, last, anchor = map(get, ("gram", "same", "first", "last", "anchor"))
+        again, d, f = _again(gram, same, doc, first, last - first + 1, get("data"), place)
+        yield from _spans(d, f, f + DEPTH)
+        k = np.flatnonzero(~again)
+        k = k[np.argsort(gram[k], kind="stable")]
+        gram, same, doc, first, last, anchor = (x[k] for x in (gram, same, doc, first, last, anchor))
         begin = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
         size = np.diff(np.append(begin, len(gram)))
         hot = np.repeat(size >= HOT_CHUNK, size)
-        if hot.any():
-            run, start = _expand(first[hot], (last - first)[hot] + 1)
-            at = place[hot][run] + start - first[hot][run]
-            yield from _windows(get("window")[at], get("window2")[at], doc[hot][run], start, shards)
+        info = (anchor - first) * 128 + (last - first)
+        yield from _differ(gram[hot], doc[hot], first[hot], info[hot], np.ones(int(hot.sum()), bool))
         marks = gram[begin[size >= HOT_CHUNK]]
         zero = np.zeros(len(marks), np.int64)
         cold = ~hot
-        info = (anchor - first) * 128 + (last - first)
-        cols = [np.concatenate(x) for x in ((gram[cold], marks), (same[cold], zero.astype(U64)), (same2[cold], zero.astype(U64)), (doc[cold], zero), (first[cold], zero - 1), (info[cold], zero))]
+        cols = [np.concatenate(x) for x in ((gram[cold], marks), (same[cold], zero.astype(U64)), (doc[cold], zero), (first[cold], zero - 1), (info[cold], zero))]
         cols = [c.astype(t) for c, t in zip(cols, _RUN, strict=True)]
         rows = [(s, pack([c[i] for c in cols])) for s, i in by_shard(cols[0], shards)]
         yield _batch(RUNS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
@@ -227,172 +316,149 @@ def deal(docs: DataFrame, shards: int) -> DataFrame:
     return docs.mapInArrow(thrifty(run), STEP)
 
 
-def _by_shard(steps: DataFrame) -> DataFrame:
-    return steps.repartition(partitions(steps.sparkSession), "shard").sortWithinPartitions("shard")
+def _differ(gram: np.ndarray, doc: np.ndarray, first: np.ndarray, info: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows of runs whose bytes are to be compared."""
+    if len(doc):
+        yield _batch(DIFFER, len(doc), doc=doc, gram=gram.view(np.int64), first=first.astype(np.int32), info=info.astype(np.int32) | (hot.astype(np.int32) << HOT_BIT), shard=(doc % 1009).astype(np.int32))
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], finish) -> Iterator[pa.RecordBatch]:
-    """Spans pass; the blocks of each shard, by kind, go to finish."""
-    now, blocks = None, {}
-    for b in batches:
-        kind = b.column("kind").to_numpy()
-        if (kind == SPANS).any():
-            yield b.filter(pa.array(kind == SPANS))
-        rest = b.filter(pa.array(kind != SPANS))
-        for k, s, x in zip(*(rest.column(c).to_pylist() for c in ("kind", "shard", "block")), strict=True):
-            if s != now and blocks:
-                yield from finish(now, blocks)
-                blocks = {}
-            now = s
-            blocks.setdefault(k, []).append(x)
-    if blocks:
-        yield from finish(now, blocks)
+def _by_shard(steps: DataFrame) -> DataFrame:
+    return steps.repartition(partitions(steps.sparkSession), "shard").sortWithinPartitions("shard")
 
 
 def compare(dealt: DataFrame) -> DataFrame:
-    """Equal runs' spans, and the runs whose gram has others (kind DIFFER; info's bit 14 says that the gram is hot); windows pass."""
+    """The runs whose gram has others (kind DIFFER), spans and hot runs as they come."""
 
-    def finish(shard: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        if w := blocks.get(WINDOWS):
-            yield _batch(WINDOWS, len(w), shard=[shard] * len(w), block=w)
-        if not (found := blocks.get(RUNS)):
-            return
-        gram, same, same2, doc, first, info = (np.concatenate(x) for x in zip(*(unpack(x, _RUN) for x in found), strict=True))
+    def finish(blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
+        gram, same, doc, first, info = (np.concatenate(x) for x in zip(*(unpack(x, _RUN) for x in blocks), strict=True))
         marked = np.unique(gram[first < 0])
-        real = first >= 0
-        gram, same, same2, doc, first, info = (x[real] for x in (gram, same, same2, doc, first, info))
+        k = np.flatnonzero(first >= 0)
+        k = k[np.lexsort((first[k], doc[k], same[k], gram[k]))]
+        gram, same, doc, first, info = (x[k] for x in (gram, same, doc, first, info))
         if not len(gram):
             return
-        order, new, later = _earliest((same2, same, gram), doc, first)
-        k = order[later]
-        yield from _spans(doc[k], first[k], first[k].astype(np.int64) + (info[k] & 127) + DEPTH)
-        k = order[new]
-        gram, doc, first, info = gram[k], doc[k], first[k], info[k]
-        begin = np.flatnonzero(np.concatenate(([True], gram[1:] != gram[:-1])))
+        step = lambda *xs: np.concatenate(([True], np.any([x[1:] != x[:-1] for x in xs], axis=0)))
+        kind, once = step(gram, same), step(gram, same, doc, first)  # a repeated row brings its runs again
+        begin = np.flatnonzero(step(gram))
+        hot = np.isin(gram[begin], marked) | (np.add.reduceat(kind.astype(np.int64), begin) >= HOT)
         size = np.diff(np.append(begin, len(gram)))
-        hot = np.isin(gram[begin], marked) | (size >= HOT)
-        left = np.repeat((size > 1) | hot, size)
-        hot = np.repeat(hot, size)[left]
-        yield _batch(DIFFER, int(left.sum()), doc=doc[left], gram=gram[left].view(np.int64), first=first[left], info=info[left].astype(np.int32) | (hot.astype(np.int32) << 14), shard=np.full(int(left.sum()), shard, np.int32))
+        left = np.repeat((np.add.reduceat(once.astype(np.int64), begin) > 1) | hot, size) & once
+        yield from _differ(gram[left], doc[left], first[left], info[left], np.repeat(hot, size)[left])
 
-    return _by_shard(dealt).mapInArrow(thrifty(lambda batches: _grouped(batches, finish)), STEP)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, blocks = None, []
+        for b in batches:
+            kind = b.column("kind").to_numpy()
+            if (kind != RUNS).any():
+                yield b.filter(pa.array(kind != RUNS))
+            rest = b.filter(pa.array(kind == RUNS))
+            for s, x in zip(rest.column("shard").to_pylist(), rest.column("block").to_pylist(), strict=True):
+                if s != now and blocks:
+                    yield from finish(blocks)
+                    blocks = []
+                now = s
+                blocks.append(x)
+        if blocks:
+            yield from finish(blocks)
+
+    return _by_shard(dealt).mapInArrow(thrifty(run), STEP)
 
 
 def with_texts(docs: DataFrame, differ: DataFrame, shards: int) -> DataFrame:
-    """The differing runs with their bytes, by shard of their gram, and the windows of hot grams."""
+    """The runs with their bytes, by shard of their gram; those of hot grams window by window, by shard of its hash."""
     mine = differ.groupBy("doc").agg(F.collect_list("first").alias("first"), F.collect_list("gram").alias("gram"), F.collect_list("info").alias("info"))
 
-    def flush(cols: list[list[np.ndarray]], parts: list[bytes], windows: list[list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-        if cols[0]:
-            gram, doc, first, count = (np.concatenate(c) for c in cols)
-            data, rows = np.frombuffer(b"".join(parts), np.uint8), []
-            size = count.astype(np.int64) + DEPTH
-            begin = np.cumsum(size) - size
-            for s, i in by_shard(gram, shards):
-                at = np.repeat(begin[i], size[i]) + np.arange(int(size[i].sum())) - np.repeat(np.cumsum(size[i]) - size[i], size[i])
-                head = pack([doc[i], first[i], count[i]])
-                rows.append((s, len(head).to_bytes(8, "little") + head + pack([data[at]])))
-            yield _batch(TEXTS, len(rows), shard=[s for s, _ in rows], block=[x for _, x in rows])
-        if windows[0]:
-            yield from _windows(*(np.concatenate(w) for w in windows), shards)
+    def flush(cols: list[list[np.ndarray]], parts: list[bytes]) -> Iterator[pa.RecordBatch]:
+        gram, doc, first, count, hot = (np.concatenate(c) for c in cols)
+        data = np.frombuffer(b"".join(parts), np.uint8)
+        size = count.astype(np.int64) + DEPTH - 1
+        begin = np.cumsum(size) - size
+        cold = ~hot
+        yield from _texts(gram[cold], doc[cold], first[cold], count[cold], data, begin[cold], shards)
+        if not hot.any():
+            return
+        levels = SuffixLevels()
+        hot = np.flatnonzero(hot)
+        for i, j in chunks(count[hot].tolist(), BATCH):
+            run, at = _expand(begin[hot[i:j]], count[hot[i:j]])
+            run = hot[i:j][run]
+            d, f = levels.add(data, at, doc[run], first[run] + at - begin[run])
+            yield from _spans(d, f, f + DEPTH)
+        for level in levels.levels:
+            key = window_hashes(level.data)[1][level.at]
+            yield from _texts(key, level.doc, level.start, np.ones(len(key), np.int64), level.data, level.at, shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        new = lambda: ([[], [], [], []], [], [[], [], [], []], 0)
-        cols, parts, windows, size = new()
+        new = lambda: ([[], [], [], [], []], [], 0)
+        cols, parts, size = new()
         for b in batches:
             texts = utf8(b.column(1))
             for r, text in enumerate(texts):
                 doc = b.column(0)[r].as_py()
                 first, gram, info = (b.column(c)[r].values.to_numpy() for c in (2, 3, 4))
-                inside = first.astype(np.int64) + (info & 127) + DEPTH <= len(text)  # all, unless a doc_id names different texts
-                order = np.flatnonzero(inside)
-                first, gram, info = first[order], gram[order], info[order]
-                count, hot = (info & 127).astype(np.uint8), info >> 14 > 0
-                if hot.any():
-                    _, fp, fp2 = window_hashes(np.frombuffer(text, np.uint8))
-                    _, start = _expand(first[hot].astype(np.int64), count[hot].astype(np.int64) + 1)
-                    for w, x in zip(windows, (fp[start], fp2[start], np.full(len(start), doc, np.int64), start), strict=True):
-                        w.append(x)
-                    size += 28 * len(start)
-                cold = ~hot
-                if cold.any():
-                    for c, x in zip(cols, (gram[cold].view(U64), np.full(int(cold.sum()), doc, np.int64), first[cold].astype(np.int32), count[cold]), strict=True):
-                        c.append(x)
-                    mine = [text[f : f + c + DEPTH] for f, c in zip(first[cold].tolist(), count[cold].tolist(), strict=True)]
-                    parts += mine
-                    size += sum(map(len, mine))
+                count = (info & 127).astype(np.int64) + 1
+                inside = np.flatnonzero(first + count + DEPTH - 1 <= len(text))  # all, unless a doc_id names different texts
+                first, gram, count, hot = first[inside].astype(np.int64), gram[inside], count[inside], info[inside] >> HOT_BIT > 0
+                for c, x in zip(cols, (gram.view(U64), np.full(len(first), doc, np.int64), first, count, hot), strict=True):
+                    c.append(x)
+                own = [text[f : f + c + DEPTH - 1] for f, c in zip(first.tolist(), count.tolist(), strict=True)]
+                parts += own
+                size += sum(map(len, own))
                 if size >= 16 << 20:
-                    yield from flush(cols, parts, windows)
-                    cols, parts, windows, size = new()
-        yield from flush(cols, parts, windows)
+                    yield from flush(cols, parts)
+                    cols, parts, size = new()
+        if parts:
+            yield from flush(cols, parts)
 
     return docs.join(mine, docs.doc_id == mine.doc).select("doc_id", "text", "first", "gram", "info").mapInArrow(thrifty(run), STEP)
 
 
-class SuffixLevels:
-    """Suffix arrays of earlier batches, each sorted, in sizes that fall about geometrically."""
-
-    def __init__(self):
-        self.levels: list[np.ndarray] = []
-
-    def add(self, suffixes: np.ndarray) -> np.ndarray:
-        """Whether each suffix (its first DEPTH bytes, in document order) has been seen before; the new ones are kept."""
-        seen = np.zeros(len(suffixes), bool)
-        order = np.argsort(suffixes, kind="stable")  # the batch's suffix array
-        array = suffixes[order]
-        fresh = np.concatenate(([True], array[1:] != array[:-1]))
-        seen[order[~fresh]] = True
-        array, order = array[fresh], order[fresh]
-        for level in self.levels:
-            at = np.searchsorted(level, array)
-            at[at == len(level)] = 0
-            hit = level[at] == array
-            seen[order[hit]] = True
-            array, order = array[~hit], order[~hit]
-        if len(array):
-            self.levels.append(array)
-            while len(self.levels) > 1 and len(self.levels[-1]) * 2 > len(self.levels[-2]):
-                b, a = self.levels.pop(), self.levels.pop()
-                self.levels.append(np.insert(a, np.searchsorted(a, b), b))
-        return seen
-
-
 def settle(steps: DataFrame) -> DataFrame:
-    """Spans from windows dealt by their own hash and from the suffix arrays of each shard."""
-
-    def finish(_: int, blocks: dict[int, list[bytes]]) -> Iterator[pa.RecordBatch]:
-        if w := blocks.get(WINDOWS):
-            fp, fp2, doc, start = (np.concatenate(x) for x in zip(*(unpack(x, _WINDOW) for x in w), strict=True))
-            order, _, later = _earliest((fp2, fp), doc, start)
-            k = order[later]
-            yield from _spans(doc[k], start[k], start[k].astype(np.int64) + DEPTH)
-        if not (found := blocks.get(TEXTS)):
-            return
+    """Spans from the suffix arrays of each shard; spans pass."""
+
+    def batch(levels: SuffixLevels, blocks: list[bytes]) -> Iterator[pa.RecordBatch]:
         heads, texts = [], []
-        for x in found:
+        for x in blocks:
             n = int.from_bytes(x[:8], "little")
             heads.append(unpack(x[8 : 8 + n], ["i8", "i4", "u1"]))
             texts.append(unpack(x[8 + n :], ["u1"])[0])
         doc, first, count = (np.concatenate(x) for x in zip(*heads, strict=True))
-        data = np.concatenate(texts)
-        size = count.astype(np.int64) + DEPTH
+        data, first, count = np.concatenate(texts), first.astype(np.int64), count.astype(np.int64)
+        size = count + DEPTH - 1
         begin = np.cumsum(size) - size
-        order = np.lexsort((count, first, doc))
-        again = np.zeros(len(order), bool)  # a repeated row brings its runs again
-        again[1:] = (np.diff(doc[order]) == 0) & (np.diff(first[order]) == 0) & (np.diff(count[order].astype(np.int64)) == 0)
-        order = order[~again]
-        doc, first, count, begin = doc[order], first[order].astype(np.int64), count[order].astype(np.int64) + 1, begin[order]
-        strings = np.lib.stride_tricks.sliding_window_view(data, DEPTH)
-        levels = SuffixLevels()
         for i, j in chunks(count.tolist(), BATCH):
             run, at = _expand(begin[i:j], count[i:j])
-            suffixes = np.ascontiguousarray(strings[at]).view(f"S{DEPTH}").ravel()
-            seen = levels.add(suffixes)
-            run, at = run[seen], at[seen]
-            start = first[i:j][run] + at - begin[i:j][run]
-            yield from _spans(doc[i:j][run], start, start + DEPTH)
+            low = int(begin[i])
+            mine = data[low : int(begin[j - 1] + size[j - 1])]
+            d, f = levels.add(mine, at - low, doc[i:j][run], first[i:j][run] + at - begin[i:j][run])
+            yield from _spans(d, f, f + DEPTH)
 
-    return _by_shard(steps).mapInArrow(thrifty(lambda batches: _grouped(batches, finish)), STEP)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, levels, blocks, size = None, SuffixLevels(), [], 0
+        for b in batches:
+            kind = b.column("kind").to_numpy()
+            if (kind == SPANS).any():
+                yield b.filter(pa.array(kind == SPANS))
+            rest = b.filter(pa.array(kind == TEXTS))
+            for s, x in zip(rest.column("shard").to_pylist(), rest.column("block").to_pylist(), strict=True):
+                if blocks and (s != now or size >= BATCH):
+                    yield from batch(levels, blocks)
+                    blocks, size = [], 0
+                if s != now:
+                    now, levels = s, SuffixLevels()
+                blocks.append(x)
+                size += _windows_in(x)
+        if blocks:
+            yield from batch(levels, blocks)
+
+    return _by_shard(steps).mapInArrow(thrifty(run), STEP)
+
+
+def _windows_in(block: bytes) -> int:
+    """How many windows the runs of a TEXTS block have."""
+    n = int.from_bytes(block[:8], "little")
+    runs, text = (int.from_bytes(block[i : i + 8], "little") for i in (8, 8 + n))
+    return text - (DEPTH - 1) * runs
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -402,12 +468,11 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and octet_length(text) >= 100")
-    shards = 4 * partitions(spark)
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = max(4 * partitions(spark), size // SHARD_TEXT)
     one = materialize(compare(deal(docs, shards)), "dedup-runs")
     collect_garbage(spark)
-    differ = one.where(F.col("kind") == DIFFER)
-    steps = with_texts(docs, differ, shards).union(one.where(F.col("kind") == WINDOWS))
-    two = materialize(settle(steps), "dedup-spans")
+    two = materialize(settle(with_texts(docs, one.where(F.col("kind") == DIFFER), shards)), "dedup-spans")
     collect_garbage(spark)
     spans = one.union(two).where(F.col("kind") == SPANS)
     return spans.groupBy("doc").agg(F.collect_list(F.struct(F.col("first").alias("start"), F.col("info").alias("end"))).alias("spans"))

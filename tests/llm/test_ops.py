@@ -122,7 +122,7 @@ def remove(rows):
     return out
 
 
-def test_suffix_dedup(docs, empty, monkeypatch):
+def test_suffix_dedup(docs, empty):
     want = remove(corpus())
     got = suffix_dedup.digest(docs).collect()
     assert len(got) == len(corpus())
@@ -136,30 +136,84 @@ def test_suffix_dedup(docs, empty, monkeypatch):
     assert left.columns == docs.columns and left.where("trim(text) = ''").count() == 0
 
 
+def test_suffix_dedup_hot_grams(spark):
+    """More than 1,024 different runs under one gram, and many copies of one text, in several partitions: only suffix arrays find what goes."""
+    line = "this is the one line that stands in the midst of every text."
+    rows = [(i, text(1000 + i, 12, 50) + " " + line + " " + text(5000 + i % 1300, 12, 50)) for i in range(1500)]
+    rows += [(9000 + i, text(77, 60)) for i in range(40)]
+    grams = defaultdict(set)
+    for _, t in rows:
+        r = suffix_dedup.runs([t.encode()])
+        for g, s in zip(r["gram"].tolist(), r["same"].tolist(), strict=True):
+            grams[g].add(s)
+    assert max(map(len, grams.values())) >= 1024
+    want = remove(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert {r["doc_id"]: tuple(r)[1:] for r in suffix_dedup.digest(df).collect()} == want
+    assert suffix_dedup.digest(df.coalesce(1)).where("n_removed > 0").count() == sum(1 for w in want.values() if w[1])
+
+
+def test_suffix_dedup_hashes_only_deal(monkeypatch):
+    """With hashes that tell hardly anything apart, the result is the same: bytes decide."""
+    rows = [(i, t) for i, t in corpus() if i is not None and len(t or "") < 3000][:60]
+    rows += [(1000 + i, t) for i, t in rows[:20]]
+    plain = suffix_dedup.window_hashes
+    places = lambda doc, s, e: [(int(d), p) for d, a, b in zip(doc, s, e, strict=True) for p in range(a, b)]
+    want = remove([(i, t) for i, t in rows])
+    texts = [(i, (t or "").encode()) for i, t in sorted(rows)]
+    for weak in (lambda d: plain(d), lambda d: tuple(h % np.uint64(3) for h in plain(d))):
+        monkeypatch.setattr(suffix_dedup, "window_hashes", weak)
+        r = suffix_dedup.runs([t for _, t in texts])
+        ids = np.array([i for i, _ in texts])[r["doc"]]
+        place = r["base"][r["doc"]] + r["first"]
+        count = r["last"] - r["first"] + 1
+        again, d, f = suffix_dedup._again(r["gram"], r["same"], ids, r["first"], count, r["data"], place)
+        left = np.flatnonzero(~again)
+        run, at = suffix_dedup._expand(place[left], count[left])
+        more = suffix_dedup.SuffixLevels().add(r["data"], at, ids[left][run], r["first"][left][run] + at - place[left][run])
+        gone = defaultdict(set)
+        for i, p in places(np.concatenate((d, more[0])), np.concatenate((f, more[1])), np.concatenate((f, more[1])) + 100):
+            gone[i].add(p)
+        assert all(len(gone[i]) == want[i][1] for i, _ in rows)
+
+
 def test_suffix_hashes():
     r = random.Random(4)
     data = np.frombuffer(bytes(r.choice(b"ab") for _ in range(400)) * 2, np.uint8)
-    gram, low, high = suffix_dedup.window_hashes(data)
-    for size, h in ((24, gram), (100, low), (100, high)):
+    gram, window = suffix_dedup.window_hashes(data)
+    for size, h in ((24, gram), (100, window)):
         assert len(h) == len(data) - size + 1
         strings = defaultdict(set)
         for i, x in enumerate(h.tolist()):
             strings[data[i : i + size].tobytes()].add(x)
         assert all(len(x) == 1 for x in strings.values()) and len(set.union(*strings.values())) == len(strings)
-    assert not set(low.tolist()) & set(high.tolist())
 
 
-def test_suffix_levels():
+@pytest.mark.parametrize("mixed", [False, True])
+def test_suffix_levels(mixed, monkeypatch):
+    """Batches in order and in any order: a window goes if and only if an equal one stands earlier; repeated places are one."""
+    monkeypatch.setattr(suffix_dedup, "SCAN", 50)
     r = random.Random(5)
-    data = bytes(r.choice(b"ab\0") for _ in range(3000)) * 2
-    all_ = np.array([data[i : i + 100] for i in range(len(data) - 99)], dtype="S100")
-    levels, seen = suffix_dedup.SuffixLevels(), set()
-    for i in range(0, len(all_), 257):
-        got = levels.add(all_[i : i + 257])
-        for k, x in zip(got, (data[j : j + 100] for j in range(i, min(i + 257, len(all_)))), strict=True):
-            assert k == (x in seen)
-            seen.add(x)
-    assert len(levels.levels) < 8 and all(np.all(x[1:] > x[:-1]) for x in levels.levels)
+    text = bytes(r.choice(b"ab\0") for _ in range(3000)) * 2
+    data = np.frombuffer(text, np.uint8)
+    spots = [np.arange(i, min(i + 257, len(text) - 99)) for i in range(0, len(text) - 99, 257)]
+    spots += spots[3:6]
+    if mixed:
+        r.shuffle(spots)
+    levels, gone = suffix_dedup.SuffixLevels(), set()
+    for at in spots:
+        d, f = levels.add(data[at[0] : at[-1] + 100], at - at[0], at // 1000, at % 1000)
+        gone |= set(zip(d.tolist(), f.tolist(), strict=True))
+    seen, want = set(), set()
+    for i in range(len(text) - 99):
+        if text[i : i + 100] in seen:
+            want.add((i // 1000, i % 1000))
+        seen.add(text[i : i + 100])
+    assert gone == want
+    assert len(levels.levels) < 8 and sum(len(x.at) for x in levels.levels) == len(seen)
+    for x in levels.levels:
+        s = suffix_dedup._strings(x.data, x.at)
+        assert np.all(s[1:] > s[:-1])
 
 
 def brute(rows):
