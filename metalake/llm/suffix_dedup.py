@@ -41,8 +41,9 @@ DEPTH, GRAM = 100, 24
 AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
 HOT_CHUNK, HOT = 64, 1024  # different runs under a gram, in a chunk or in all, from which its windows are dealt one by one
 FLUSH = 4 << 20  # bytes of text whose runs are combined before they are dealt
-SHARD_TEXT = 16 << 20  # bytes of text for which there is a shard, at least
-BATCH = 1 << 17  # suffixes of a batch
+SHARD_TEXT = 2 << 20  # bytes of text for which there is a shard
+BATCH = 1 << 16  # suffixes of a batch; their strings stay under the size from which arrays are mapped anew each time
+SPARE = 8  # bytes of text a suffix that a level keeps unlooked at
 SCAN = 1 << 14  # suffixes of a level that are read at once
 C = multipliers(16, 41)
 
@@ -185,12 +186,16 @@ class Level:
         return Level(np.concatenate((self.data, other.data)), *(np.insert(a, where, b) for a, b in pairs))
 
     def trimmed(self) -> Level:
-        """Without the text that no suffix begins with."""
-        step = np.zeros(len(self.data) + 1, np.int32)
-        np.add.at(step, self.at, 1)
-        np.add.at(step, self.at + DEPTH, -1)
-        held = np.cumsum(step[:-1]) > 0
-        return Level(self.data[held], (np.cumsum(held) - 1)[self.at], self.doc, self.start)
+        """Without the text that is in none of the strings, where there is much text."""
+        if len(self.data) <= SPARE * len(self.at):
+            return self
+        order = np.argsort(self.at)
+        low = self.at[order]
+        size = np.append(np.minimum(np.diff(low), DEPTH), DEPTH)  # of each string, the bytes before the next
+        begin = np.cumsum(size) - size
+        at = np.empty_like(self.at)
+        at[order] = begin
+        return Level(self.data[_expand(low, size)[1]], at, self.doc, self.start)
 
 
 class SuffixLevels:
@@ -203,7 +208,8 @@ class SuffixLevels:
         """(document, start) of the windows that turn out to have an equal one earlier, among the new (at in data) and those before."""
         if not len(at):
             return np.empty(0, np.int64), np.empty(0, np.int64)
-        order = np.lexsort((start, doc))
+        sorted_ = np.all(_earlier(doc[:-1], start[:-1], doc[1:], start[1:]))
+        order = np.arange(len(at)) if sorted_ else np.lexsort((start, doc))
         strings = _strings(data, at[order])
         array = np.argsort(strings, kind="stable")  # the batch's suffix array; equal strings by place
         order, strings = order[array], strings[array]
@@ -256,6 +262,7 @@ def _again(gram: np.ndarray, same: np.ndarray, doc: np.ndarray, first: np.ndarra
     some = np.zeros(len(order), bool)
     some[order[1:][equal]] = some[order[:-1][equal]] = True
     out, some = np.zeros(len(order), bool), np.flatnonzero(some)
+    some = some[np.lexsort((first[some], doc[some]))]
     levels, found = SuffixLevels(), [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for i, j in chunks(count[some].tolist(), BATCH):
         run, at = _expand(place[some[i:j]], count[some[i:j]])
@@ -263,12 +270,16 @@ def _again(gram: np.ndarray, same: np.ndarray, doc: np.ndarray, first: np.ndarra
         found.append(levels.add(data, at, doc[mine], first[mine] + at - place[mine]))
     d, f = (np.concatenate(x) for x in zip(*found, strict=True))
     if len(d):
-        # a run goes if each of its places is among the found; runs hold a document's places in order
-        docs, number = np.unique(np.concatenate((d, doc[some])), return_inverse=True)
-        wide = int(max(f.max(), (first + count).max())) + 1
-        places = np.unique(number[: len(d)] * wide + f)
-        low = number[len(d) :] * wide + first[some]
-        out[some] = np.searchsorted(places, low + count[some]) - np.searchsorted(places, low) == count[some]
+        # a run goes if each of its places is among the found; each document's places are marked in a stretch of their own
+        docs, number = np.unique(doc[some], return_inverse=True)
+        longest = np.zeros(len(docs), np.int64)
+        np.maximum.at(longest, number, first[some] + count[some])
+        base = np.cumsum(longest) - longest
+        mark = np.zeros(int(longest.sum()) + 1, np.int64)
+        mark[base[np.searchsorted(docs, d)] + f + 1] = 1
+        marked = np.cumsum(mark)
+        low = base[number] + first[some]
+        out[some] = marked[low + count[some]] - marked[low] == count[some]
     return out, d, f
 
 
@@ -423,14 +434,15 @@ def settle(steps: DataFrame) -> DataFrame:
             heads.append(unpack(x[8 : 8 + n], ["i8", "i4", "u1"]))
             texts.append(unpack(x[8 + n :], ["u1"])[0])
         doc, first, count = (np.concatenate(x) for x in zip(*heads, strict=True))
-        data, first, count = np.concatenate(texts), first.astype(np.int64), count.astype(np.int64)
-        size = count + DEPTH - 1
+        data, size = np.concatenate(texts), count.astype(np.int64) + DEPTH - 1
         begin = np.cumsum(size) - size
+        order = np.lexsort((first, doc))
+        doc, first, count, begin = doc[order], first[order].astype(np.int64), count[order].astype(np.int64), begin[order]
         for i, j in chunks(count.tolist(), BATCH):
             run, at = _expand(begin[i:j], count[i:j])
-            low = int(begin[i])
-            mine = data[low : int(begin[j - 1] + size[j - 1])]
-            d, f = levels.add(mine, at - low, doc[i:j][run], first[i:j][run] + at - begin[i:j][run])
+            mine = data if j - i == len(order) else data[_expand(begin[i:j], count[i:j] + DEPTH - 1)[1]]
+            own = begin[i:j] if mine is data else np.cumsum(count[i:j] + DEPTH - 1) - count[i:j] - DEPTH + 1
+            d, f = levels.add(mine, own[run] + at - begin[i:j][run], doc[i:j][run], first[i:j][run] + at - begin[i:j][run])
             yield from _spans(d, f, f + DEPTH)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -469,7 +481,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and octet_length(text) >= 100")
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    shards = max(4 * partitions(spark), size // SHARD_TEXT)
+    shards = size // SHARD_TEXT + 1
     one = materialize(compare(deal(docs, shards)), "dedup-runs")
     collect_garbage(spark)
     two = materialize(settle(with_texts(docs, one.where(F.col("kind") == DIFFER), shards)), "dedup-spans")
