@@ -206,6 +206,8 @@ def unpack(block: bytes, dtypes: list[str]) -> list[np.ndarray]:
 
 def by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, indices) of each shard that has keys; the shard is a hash of the key."""
+    if not len(keys):
+        return
     shard = (mix64(keys ^ U64(0x5DEECE66D)) % U64(shards)).astype(np.int64)
     order = np.argsort(shard, kind="stable")
     edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
