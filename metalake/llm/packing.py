@@ -79,7 +79,7 @@ class Tokens:
         ranks = {bytes(byte[c] for c in k): v for k, v in model["model"]["vocab"].items() if v not in self._added.values()}
         self.top = max([*ranks.values(), *self._added.values()])
         plain = public_tokenizers.PATTERN.replace(self._ahead, "")
-        self._encode = tiktoken.Encoding("file", pat_str=plain, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self._encoding = tiktoken.Encoding("file", pat_str=plain, mergeable_ranks=ranks, special_tokens=self._added)
 
     def ids(self, text: str) -> np.ndarray:
         """All ids of a text."""
@@ -97,8 +97,11 @@ class Tokens:
 
     def _some(self, text: str) -> np.ndarray:
         if not self._runs.search(text):
-            return np.array(self._encode(text), np.uint32)
-        return np.array([n for x in self._before_last.split(text) for n in self._encode(x)], np.uint32)
+            return self._encode(text)
+        return np.concatenate([np.empty(0, np.uint32), *(self._encode(x) for x in self._before_last.split(text) if x)])
+
+    def _encode(self, text: str) -> np.ndarray:
+        return self._encoding.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
 
 
 _tokens: dict[str, Tokens] = {}
@@ -287,7 +290,7 @@ def _tokenise(docs: DataFrame, tokenizer: str, kind: str) -> DataFrame:
             out, n = [], []
             for t in b.column(2).to_pylist():
                 d = np.concatenate((encoder.ids(t), end))
-                df[np.unique(d[:-1])] += 1
+                df[count_terms(d[:-1])[0]] += 1
                 out.append(d.astype(kind).tobytes())
                 n.append(len(d))
             yield _batch(schema, [b.column(0), b.column(1), n, out, pa.nulls(len(out), pa.binary())])
