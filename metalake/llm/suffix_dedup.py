@@ -152,7 +152,7 @@ def _strings(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """The first DEPTH bytes of the suffixes of data at these places."""
     if not len(at):
         return np.empty(0, f"S{DEPTH}")
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(data, DEPTH)[at]).view(f"S{DEPTH}").ravel()
+    return np.ndarray(len(data) - DEPTH + 1, f"S{DEPTH}", np.ascontiguousarray(data), strides=(1,))[at]  # overlapping items, each copied at once
 
 
 def _earlier(doc: np.ndarray, start: np.ndarray, than_doc: np.ndarray, than_start: np.ndarray) -> np.ndarray:
