@@ -83,14 +83,13 @@ def runs(texts: list[bytes]) -> dict[str, np.ndarray] | None:
     gram, window = window_hashes(data)
     last = n - DEPTH
     text = np.repeat(np.arange(len(texts)), sizes)[: last + 1]
-    fits = np.arange(last + 1) + DEPTH <= base[text + 1]
-    place = np.arange(len(gram), dtype=np.int64)
-    grams = DEPTH - GRAM + 1
+    fits = np.arange(DEPTH, last + DEPTH + 1) <= np.repeat(base[1:], sizes)[: last + 1]
+    grams, step = DEPTH - GRAM + 1, 1 << 20
+    place = np.arange(min(len(gram), step + grams), dtype=U64)
     out: list[list[np.ndarray]] = [[], [], []]
-    step = 1 << 20
     for at in range(0, last + 1, step):  # positions within a step, and the windows that reach on, have 21 bits
         stop = min(last + 1, at + step)
-        key = (gram[at : stop + grams - 1] & ~U64((1 << 21) - 1)) | (place[at : stop + grams - 1] - at).astype(U64)
+        key = (gram[at : stop + grams - 1] & ~U64((1 << 21) - 1)) | place[: stop + grams - 1 - at]
         low, size = key, 1
         while size * 2 <= grams:
             low = np.minimum(low[:-size], low[size:])
