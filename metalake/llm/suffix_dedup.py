@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import U64, by_shard, chunks, collect_garbage, materialize, mix64, multipliers, pack, partitions, thrifty, unpack, unused, utf8
 
 DEPTH, GRAM = 100, 24
-AT_ONCE = 1 << 19  # bytes hashed at once; positions in them have 20 bits
+AT_ONCE = 1 << 17  # bytes hashed at once, so few that their hashes stay in the processor's cache
 HOT_CHUNK, HOT = 64, 1024  # different runs under a gram, in a chunk or in all, from which its windows are dealt one by one
 FLUSH = 4 << 20  # bytes of text whose runs are combined before they are dealt
 SHARD_TEXT = 2 << 20  # bytes of text for which there is a shard
@@ -130,11 +130,21 @@ _RUN = ["u8", "u8", "i8", "i4", "u2"]  # gram, hash of the run, document, first
 HOT_BIT = 14  # of a DIFFER row's info: the gram is hot
 
 
+def _by_place(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """The order by document and start, by one number for both where 63 bits hold them."""
+    if not len(doc):
+        return np.empty(0, np.int64)
+    low, bits = int(doc.min()), int(start.max()).bit_length()
+    if (int(doc.max()) - low).bit_length() + bits > 63:
+        return np.lexsort((start, doc))
+    return np.argsort(((doc - low) << bits) | start)
+
+
 def _spans(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Span rows, those of a document that touch made one."""
     if not len(doc):
         return
-    order = np.lexsort((start, doc))
+    order = _by_place(doc, start)
     doc, start, end = doc[order], start[order].astype(np.int64), end[order].astype(np.int64)
     # ends made to rise over documents, so that one running maximum serves all
     group = np.cumsum(np.concatenate(([0], (doc[1:] != doc[:-1]).astype(np.int64))))
@@ -154,6 +164,25 @@ def _strings(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return np.ndarray(len(data) - DEPTH + 1, f"S{DEPTH}", np.ascontiguousarray(data), strides=(1,))[at]  # overlapping items, each copied at once
 
 
+def _sorted(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, strings) of the suffixes of data at these places by their first DEPTH bytes, equal ones as they come.
+
+    Numbers made of the first bytes and the item's number are sorted first, which is quick; what the byte sort then finds is nearly in order.
+    """
+    low = U64((1 << len(at).bit_length()) - 1)
+    head = np.ndarray(len(data) - 7, ">u8", np.ascontiguousarray(data), strides=(1,))[at].astype(U64)
+    near = (np.sort((head & ~low) | np.arange(len(at), dtype=U64)) & low).astype(np.int64)
+    strings = _strings(data, at[near])
+    array = np.argsort(strings, kind="stable")
+    return near[array], strings[array]
+
+
+def _same(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Which strings of a and b are equal, by four bytes at once."""
+    a, b = (np.ascontiguousarray(x).view(np.uint32).reshape(-1, DEPTH // 4) for x in (a, b))
+    return ~(a != b).any(1)
+
+
 def _earlier(doc: np.ndarray, start: np.ndarray, than_doc: np.ndarray, than_start: np.ndarray) -> np.ndarray:
     return (doc < than_doc) | ((doc == than_doc) & (start < than_start))
 
@@ -174,15 +203,25 @@ class Level:
                 mine = _strings(self.data, self.at[c * SCAN : (c + 1) * SCAN])
                 k = np.searchsorted(mine, strings[i:j])
                 spot[i:j] = k + c * SCAN
-                hit[i:j] = mine[np.minimum(k, len(mine) - 1)] == strings[i:j]
+                hit[i:j] = _same(mine[np.minimum(k, len(mine) - 1)], strings[i:j])
         return spot, hit
 
-    def merge(self, other: Level) -> Level:
-        """Both in one; they have no string in common."""
-        spot = [self.scan(_strings(other.data, other.at[i : i + SCAN]))[0] for i in range(0, len(other.at), SCAN)]
-        where = np.concatenate(spot)
+    def merge(self, other: Level, spot: np.ndarray | None = None) -> Level:
+        """Both in one; they have no string in common. spot: where other's strings would stand in this one, if that is known."""
+        if spot is None:
+            spot = np.concatenate([self.scan(_strings(other.data, other.at[i : i + SCAN]))[0] for i in range(0, len(other.at), SCAN)])
+        theirs = spot + np.arange(len(spot))
+        mine = np.ones(len(self.at) + len(spot), bool)
+        mine[theirs] = False
+        mine = np.flatnonzero(mine)
+
+        def both(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+            out = np.empty(len(a) + len(b), np.int64)
+            out[mine], out[theirs] = a, b
+            return out
+
         pairs = ((self.at, other.at + len(self.data)), (self.doc, other.doc), (self.start, other.start))
-        return Level(np.concatenate((self.data, other.data)), *(np.insert(a, where, b) for a, b in pairs))
+        return Level(np.concatenate((self.data, other.data)), *(both(a, b) for a, b in pairs))
 
     def trimmed(self) -> Level:
         """Without the text that is in none of the strings, where there is much text."""
@@ -208,28 +247,29 @@ class SuffixLevels:
         if not len(at):
             return np.empty(0, np.int64), np.empty(0, np.int64)
         sorted_ = np.all(_earlier(doc[:-1], start[:-1], doc[1:], start[1:]))
-        order = np.arange(len(at)) if sorted_ else np.lexsort((start, doc))
-        strings = _strings(data, at[order])
-        array = np.argsort(strings, kind="stable")  # the batch's suffix array; equal strings by place
-        order, strings = order[array], strings[array]
-        new = np.concatenate(([True], strings[1:] != strings[:-1]))
+        order = np.arange(len(at)) if sorted_ else _by_place(doc, start)
+        array, strings = _sorted(data, at[order])  # the batch's suffix array; equal strings by place
+        order = order[array]
+        new = np.concatenate(([True], ~_same(strings[1:], strings[:-1])))
         head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
         at, doc, start = at[order], doc[order], start[order]
         late = _earlier(doc[head], start[head], doc, start)
         gone = [(doc[late], start[late])]
         strings, at, doc, start = strings[new], at[new], doc[new], start[new]
+        spot = None
         for level in self.levels:
             spot, hit = level.scan(strings)
             k, d, f = spot[hit], doc[hit], start[hit]
             before, after = _earlier(d, f, level.doc[k], level.start[k]), _earlier(level.doc[k], level.start[k], d, f)
             gone += [(d[after], f[after]), (level.doc[k[before]], level.start[k[before]])]
             level.doc[k[before]], level.start[k[before]] = d[before], f[before]
-            strings, at, doc, start = strings[~hit], at[~hit], doc[~hit], start[~hit]
+            spot, strings, at, doc, start = (x[~hit] for x in (spot, strings, at, doc, start))
         if len(at):
             self.levels.append(Level(data, at, doc, start).trimmed())
             while len(self.levels) > 1 and len(self.levels[-1].at) * 2 > len(self.levels[-2].at):
                 b, a = self.levels.pop(), self.levels.pop()
-                self.levels.append(a.merge(b))
+                self.levels.append(a.merge(b, spot))  # the last scan was of the last level
+                spot = None
         return tuple(np.concatenate(x) for x in zip(*gone, strict=True))
 
 
@@ -256,12 +296,13 @@ def _again(gram: np.ndarray, same: np.ndarray, doc: np.ndarray, first: np.ndarra
 
     Runs with equal hashes are looked at; suffix arrays tell.
     """
-    order = np.lexsort((first, doc, same, gram))
-    equal = (gram[order[1:]] == gram[order[:-1]]) & (same[order[1:]] == same[order[:-1]])
+    both = gram * C[14] ^ same
+    order = np.argsort(both)
+    equal = both[order[1:]] == both[order[:-1]]
     some = np.zeros(len(order), bool)
     some[order[1:][equal]] = some[order[:-1][equal]] = True
     out, some = np.zeros(len(order), bool), np.flatnonzero(some)
-    some = some[np.lexsort((first[some], doc[some]))]
+    some = some[_by_place(doc[some], first[some])]
     levels, found = SuffixLevels(), [(np.empty(0, np.int64), np.empty(0, np.int64))]
     for i, j in chunks(count[some].tolist(), BATCH):
         run, at = _expand(place[some[i:j]], count[some[i:j]])
@@ -435,7 +476,7 @@ def settle(steps: DataFrame) -> DataFrame:
         doc, first, count = (np.concatenate(x) for x in zip(*heads, strict=True))
         data, size = np.concatenate(texts), count.astype(np.int64) + DEPTH - 1
         begin = np.cumsum(size) - size
-        order = np.lexsort((first, doc))
+        order = _by_place(doc, first)
         doc, first, count, begin = doc[order], first[order].astype(np.int64), count[order].astype(np.int64), begin[order]
         for i, j in chunks(count.tolist(), BATCH):
             run, at = _expand(begin[i:j], count[i:j])

@@ -216,6 +216,48 @@ def test_suffix_levels(mixed, monkeypatch):
         assert np.all(s[1:] > s[:-1])
 
 
+@pytest.mark.parametrize("n", [1, 2, 255, 256, 5000])
+def test_suffix_sort(n):
+    """Few first bytes tell the strings apart, many are equal: the order is that of a plain stable sort of the bytes."""
+    r = random.Random(n)
+    data = np.frombuffer(bytes(r.choice(b"a\0\xff") for _ in range(150)) * 9 + b"a" * 400 + bytes(r.randrange(256) for _ in range(3000)), np.uint8)
+    at = np.array([r.randrange(len(data) - 99) for _ in range(n - 1)] + [len(data) - 100])
+    order, strings = suffix_dedup._sorted(data, at)
+    whole = [data[i : i + 100].tobytes() for i in at]
+    assert order.tolist() == sorted(range(n), key=whole.__getitem__)
+    assert [data[i : i + 100].tobytes() for i in at[order]] == [s.ljust(100, b"\0") for s in strings.tolist()]
+    same = [whole[i] == whole[j] for i, j in itertools.pairwise(order)]
+    assert suffix_dedup._same(strings[1:], strings[:-1]).tolist() == same
+
+
+def test_suffix_places():
+    """Places that 63 bits hold and those that they don't: by document, then start."""
+    r = random.Random(6)
+    for ids in ([5], range(-3, 40), [-(1 << 63), -1, 0, (1 << 63) - 1], [(1 << 63) - 9, (1 << 63) - 1], [-(1 << 62), (1 << 62) - 1]):
+        for most in (0, 1, 1 << 20, (1 << 31) - 1):
+            rows = [(r.choice(ids), r.randint(0, most)) for _ in range(300)]
+            for kind in (np.int32, np.int64):
+                doc, start = np.array([d for d, _ in rows], np.int64), np.array([f for _, f in rows], kind)
+                order = suffix_dedup._by_place(doc, start)
+                assert [rows[i] for i in order] == sorted(rows)
+    assert not len(suffix_dedup._by_place(doc[:0], start[:0]))
+
+
+def test_suffix_levels_scan_once(monkeypatch):
+    """A batch that merges with the level it was looked up in isn't looked up there again."""
+    scans, plain = [], suffix_dedup.Level.scan
+    monkeypatch.setattr(suffix_dedup.Level, "scan", lambda self, strings: scans.append(len(strings)) or plain(self, strings))
+    r = random.Random(8)
+    data = np.frombuffer(bytes(r.choice(b"abc") for _ in range(1000)), np.uint8)
+    levels, doc = suffix_dedup.SuffixLevels(), np.zeros(450, np.int64)
+    for i in (0, 450):
+        levels.add(data[i : i + 549], np.arange(450), doc, np.arange(i, i + 450))
+    assert len(levels.levels) == 1 and len(levels.levels[0].at) == 900 and scans == [450]
+    s = suffix_dedup._strings(levels.levels[0].data, levels.levels[0].at)
+    assert np.all(s[1:] > s[:-1])
+    assert levels.levels[0].start.tolist() == sorted(range(900), key=lambda i: data[i : i + 100].tobytes())
+
+
 def brute(rows):
     sets = defaultdict(list)
     for i, t in rows:
